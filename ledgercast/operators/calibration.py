@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgercast.operators.running import running_totals
+from ledgercast.session import stage_path
+from ledgercast.sources.stages import staged
 
 BINS = 10
 # Fixed value: a coefficient this far from 1 is not trusted.
@@ -18,15 +20,19 @@ FAR_FROM_ONE = 0.9999
 
 
 def score_counts(scores: DataFrame) -> DataFrame:
-    """``(product, score, n, positives)``: one row per distinct score."""
-    return scores.groupBy("product", "score").agg(
+    """``(product, score, n, positives)``: one row per distinct score.
+
+    Ranks read it several times, so it is staged: the scores behind it are computed once.
+    """
+    counts = scores.groupBy("product", "score").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("target").cast("long")).alias("positives")
     )
+    return staged(counts, stage_path(scores.sparkSession, "score-counts"))
 
 
 def quantile_edges(counts: DataFrame, bins: int = BINS) -> DataFrame:
     """``(product, edges)``: exact inner quantile edges with linear interpolation, distinct."""
-    ranked = running_totals(counts, "product", "score", ["n"])
+    ranked = running_totals(counts, "product", "score", ["n"], counts.count())
 
     def value_at(rank: Column) -> Column:
         holds = (F.col("n_upto") > rank) & (F.col("n_upto") - F.col("n") <= rank)

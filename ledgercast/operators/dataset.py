@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame
 
 from ledgercast.sources.profile import KEYS
 
 
 def fill_numbers(df: DataFrame) -> DataFrame:
-    """Missing numbers become 0; other types keep their nulls."""
-    columns = [
-        F.coalesce(F.col(f"`{f.name}`"), F.lit(0).cast(f.dataType)).alias(f.name)
-        if isinstance(f.dataType, T.NumericType)
-        else F.col(f"`{f.name}`")
-        for f in df.schema.fields
-    ]
-    return df.select(*columns)
+    """Missing numbers become 0; text, dates and flags keep their nulls."""
+    return df.na.fill(0)
 
 
 def feature_dataset(profile: DataFrame, pnl: DataFrame) -> DataFrame:

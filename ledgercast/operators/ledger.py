@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgercast.dimensions import Dimensions
 from ledgercast.functions.bucket import client_bucket
 from ledgercast.functions.calendar import month_index
-from ledgercast.functions.money import from_units, units
+from ledgercast.functions.money import from_units, units, units_as
 from ledgercast.functions.trend import STATISTICS, base_statistics, derived_statistics, history_columns
 from ledgercast.operators.cohort import cohort_filter_ledger, with_cohort_month
 from ledgercast.plans.cohort_plan import LEDGER_WINDOW, CohortPlan
@@ -23,9 +23,15 @@ KEYS = ["epk_id", "report_dt"]
 # -- filters and dimension joins -----------------------------------------------------------------
 
 
-def keep_sample(df: DataFrame, sample: DataFrame) -> DataFrame:
-    """Rows of the sampled clients. A client listed twice does not repeat its rows."""
-    return df.join(sample.select("epk_id"), "epk_id", "left_semi")
+def keep_sample(df: DataFrame, sample: DataFrame | None) -> DataFrame:
+    """Rows of the sampled clients. A client listed twice does not repeat its rows.
+
+    Put it behind an aggregation by client: with a small sample the optimizer pushes the join
+    below the aggregation as a broadcast, with a large one only combined rows are shuffled.
+    """
+    if sample is None:
+        return df
+    return df.join(sample.select("epk_id").distinct(), "epk_id", "left_semi")
 
 
 def product_allowlist(ledger: DataFrame, dims: Dimensions) -> DataFrame:
@@ -64,8 +70,10 @@ def ledger_sum_by_group(ledger: DataFrame, dims: Dimensions) -> DataFrame:
     )
 
 
-def filtered_ledger(ledger: DataFrame, plan: CohortPlan, dims: Dimensions) -> DataFrame:
-    return ledger_sum_by_group(cohort_filter_ledger(ledger, plan), dims)
+def filtered_ledger(
+    ledger: DataFrame, plan: CohortPlan, dims: Dimensions, sample: DataFrame | None = None
+) -> DataFrame:
+    return keep_sample(ledger_sum_by_group(cohort_filter_ledger(ledger, plan), dims), sample)
 
 
 def distinct_clients(ledger: DataFrame) -> DataFrame:
@@ -250,55 +258,45 @@ def short_name(measure: str) -> str:
 
 
 def _zero_filled(wide: DataFrame, keys: list[str], names: dict[str, str]) -> DataFrame:
-    return wide.select(
-        *keys, *[F.coalesce(F.col(f"`{old}`"), F.lit(0.0)).alias(new) for old, new in names.items()]
-    )
+    return wide.selectExpr(*keys, *[f"coalesce(`{old}`, 0D) AS `{new}`" for old, new in names.items()])
 
 
-PAIR = "pair"
+NOW = "now"
 
 
-def pnl_wide(rows: DataFrame, plan: CohortPlan, dims: Dimensions, each_month: bool = False) -> DataFrame:
+def pnl_wide(
+    rows: DataFrame, plan: CohortPlan, dims: Dimensions, each_month: bool = False, sample: DataFrame | None = None
+) -> DataFrame:
     """All ledger features of a client and report month in one wide row.
 
-    Two exchanges, both of combined rows: partial sums on the full key, then at most
-    products × items short rows per client for a single pivot over (product, item) pairs. The
-    pivot runs where its rows already are; letting it exchange its own partial results would ship
-    one full-width row for every short one.
+    Two exchanges, both of combined rows: partial sums on the full key, then one short row per
+    product and item. A client brings at most products x items of those, so they fit in a map from
+    which the wide columns are read; a pivot would carry every column of every client through its
+    aggregation buffers, before the exchange too.
     """
-    history = history_units(rows, plan, each_month)
+    history = keep_sample(history_units(rows, plan, each_month), sample)
     futures = [c for c in history.columns if c.startswith("f_")]
     stats = trend_stats(item_history(history, plan), plan.history)
+    pair = F.concat_ws("|", "product", F.coalesce("item", F.lit("")))
     columns = measures(plan) + ["h_1"] + futures
-    pairs = [f"{p}|{i}" for p in dims.product_names for i in dims.item_names]
-    wide = (
-        stats.withColumn(PAIR, F.concat_ws("|", "product", F.coalesce("item", F.lit(""))))
-        .repartition(*KEYS)
-        .groupBy(*KEYS)
-        .pivot(PAIR, pairs)
-        .agg(*[F.first(f"`{c}`").alias(c) for c in columns])
-    )
-
-    def cell(product: str, item: str, column: str, zero) -> F.Column:
-        name = f"{product}|{item}_{column}"
-        return F.coalesce(F.col(f"`{name}`"), zero)
+    entry = F.struct(pair, F.struct(*[F.col(f"`{c}`") for c in columns]))
+    by_client = stats.groupBy(*KEYS).agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
 
-    def product_sum(product: str, column: str) -> F.Column:
-        zero = F.lit(0).cast("long")
-        total = zero
-        for item in dims.item_names:
-            total = total + cell(product, item, column, zero)
-        return total
+    def cell(product: str, item: str, column: str, zero: str) -> str:
+        return f"coalesce(try_element_at(cells, '{product}|{item}').`{column}`, {zero})"
 
     features = [
-        cell(p, i, c, F.lit(0.0)).alias(f"{p}_{i}_{short_name(c)}")
+        f"{cell(p, i, c, '0D')} AS `{p}_{i}_{short_name(c)}`"
         for p in dims.product_names
         for i in dims.item_names
         for c in measures(plan)
     ]
-    exact = [product_sum(p, "h_1").alias(f"{p}|now") for p in dims.product_names]
-    exact += [product_sum(p, f).alias(f"{p}|{f}") for p in dims.product_names for f in futures]
-    return wide.select(*KEYS, *features, *exact)
+    exact = [
+        " + ".join(cell(p, i, column, "0L") for i in dims.item_names) + f" AS `{p}|{name}`"
+        for p in dims.product_names
+        for column, name in [("h_1", NOW), *[(f, f) for f in futures]]
+    ]
+    return by_client.selectExpr(*KEYS, *features, *exact)
 
 
 def feature_names(plan: CohortPlan, dims: Dimensions) -> list[str]:
@@ -312,12 +310,12 @@ def feature_names(plan: CohortPlan, dims: Dimensions) -> list[str]:
     return names + [f"{p}_pl_-1" for p in dims.product_names]
 
 
-def pnl_features(ledger: DataFrame, plan: CohortPlan, dims: Dimensions) -> DataFrame:
+def pnl_features(ledger: DataFrame, plan: CohortPlan, dims: Dimensions, sample: DataFrame | None = None) -> DataFrame:
     """Item features and every product month ``{p}_pl_{-1 … P-1}``."""
-    wide = pnl_wide(cohort_rows(ledger, plan, dims), plan, dims, each_month=True)
+    wide = pnl_wide(cohort_rows(ledger, plan, dims), plan, dims, each_month=True, sample=sample)
     items = feature_names(plan, dims)[: -len(dims.product_names)]
     months = []
     for p in dims.product_names:
-        months.append(from_units(F.col(f"`{p}|now`")).alias(f"{p}_pl_-1"))
-        months += [from_units(F.col(f"`{p}|f_{m}`")).alias(f"{p}_pl_{m - 1}") for m in range(1, plan.predict + 1)]
-    return wide.select(*KEYS, *[f"`{c}`" for c in items], *months)
+        ahead = [(f"f_{m}", m - 1) for m in range(1, plan.predict + 1)]
+        months += [units_as(f"{p}|{part}", f"{p}_pl_{m}") for part, m in [(NOW, -1), *ahead]]
+    return wide.selectExpr(*KEYS, *[f"`{c}`" for c in items], *months)

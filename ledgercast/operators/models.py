@@ -10,8 +10,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from itertools import product as combinations
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -105,6 +106,7 @@ class SearchSettings:
     refit_depth: int = 25
     refit_on_all: bool = False
     seed: int = 23
+    parallel_fits: int = 4
 
 
 @dataclass
@@ -337,6 +339,15 @@ def fit_model(dataset: DataFrame, features: list[str], spec: ModelSpec, s: Searc
     return FittedModel(spec, pipeline, short, before.union(after), table, params)
 
 
+def fit_models(
+    dataset: DataFrame, features: list[str], specs: list[ModelSpec], s: SearchSettings = SearchSettings()
+) -> list[FittedModel]:
+    """Fit independent models, a few at a time: a small segment alone leaves a cluster idle."""
+    fit = inheritable_thread_target(dataset.sparkSession)(lambda spec: fit_model(dataset, features, spec, s))
+    with ThreadPool(min(s.parallel_fits, len(specs))) as pool:
+        return pool.map(fit, specs, chunksize=1)
+
+
 # -- predict -------------------------------------------------------------------------------------
 
 

@@ -67,10 +67,11 @@ def category_cardinality_gate(counts: DataFrame, max_values: int = MAX_VALUES) -
     """Values of the features that have fewer than ``max_values`` of them.
 
     Values are counted per feature by aggregation: an id-like column may have as many values as
-    there are clients and must not meet in one task.
+    there are clients and must not meet in one task. The sizes are one row per column of the
+    profile, so they go to every task instead.
     """
     sizes = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("total"))
-    return counts.join(sizes.where(F.col("values") < max_values), "feature").select(
+    return counts.join(F.broadcast(sizes.where(F.col("values") < max_values)), "feature").select(
         "feature", "value", "n", "total"
     )
 

@@ -1,30 +1,43 @@
-"""Running totals over an ordered column without sending a group to one task.
+"""Running totals over an ordered column without sending a large group to one task.
 
-Each group is cut into value ranges at approximate quantiles. Ranges carry their own totals, at
-most ``groups x ranges`` of them, which give every range its starting value; inside a range a
-window adds the rows up. The cuts only steer the work, the totals are exact for any cuts.
+Up to ``ROWS_PER_RANGE`` rows a plain window does. Above that each group is cut into value ranges
+at approximate quantiles. Ranges carry their own totals, at most ``groups x ranges`` of them, which
+give every range its starting value; inside a range a window adds the rows up. The cuts only steer
+the work: the totals are exact for any cuts.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-RANGES = 64
+ROWS_PER_RANGE = 1_000_000
+MAX_RANGES = 4096
+STEP = 64
 
 
-def running_totals(df: DataFrame, group: str, order: str, values: list[str], ranges: int = RANGES) -> DataFrame:
+def running_totals(
+    df: DataFrame, group: str, order: str, values: list[str], rows: int, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
     """Add ``{v}_upto`` (this row included) and ``{v}_total`` for each value column.
 
     ``df`` holds one row per ``(group, order)``, so equal values are one row and no range can be
-    flooded by repeats. The number of groups must be bounded by settings (products, not clients).
+    flooded by repeats; ``rows`` is its size. The number of groups must be bounded by settings
+    (products, not clients).
     """
-    points = F.array(*[F.lit((i + 1) / ranges) for i in range(ranges - 1)])
+    ranges = min(ceil(rows / rows_per_range), MAX_RANGES)
+    if ranges <= 1:
+        everything = Window.partitionBy(group)
+        upto = everything.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        totals = {f"{v}_total": F.sum(v).over(everything) for v in values}
+        return df.withColumns(totals | {f"{v}_upto": F.sum(v).over(upto) for v in values})
+
     cuts = df.groupBy(group).agg(
-        F.array_distinct(F.percentile_approx(order, points, F.lit(20 * ranges))).alias("_cuts"),
+        F.percentile_approx(order, [(i + 1) / ranges for i in range(ranges - 1)], 20 * ranges).alias("_cuts"),
         *[F.sum(v).alias(f"{v}_total") for v in values],
     )
-    number: Column = F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
-    tagged = df.join(F.broadcast(cuts), group).withColumn("_range", number).drop("_cuts")
+    tagged = df.join(F.broadcast(cuts), group).withColumn("_range", _cuts_below(F.col(order), ranges)).drop("_cuts")
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         tagged.groupBy(group, "_range")
@@ -36,3 +49,15 @@ def running_totals(df: DataFrame, group: str, order: str, values: list[str], ran
     joined = local.join(F.broadcast(starts), [group, "_range"])
     sums = {f"{v}_upto": F.col(f"{v}_upto") + F.col(f"_{v}_start") for v in values}
     return joined.withColumns(sums).drop("_range", *[f"_{v}_start" for v in values])
+
+
+def _cuts_below(value: Column, ranges: int) -> Column:
+    """How many of the sorted ``_cuts`` lie below the value: every 64th cut first, then one slice."""
+    below = lambda cuts: F.size(F.filter(cuts, lambda cut: cut < value))
+    if ranges <= STEP:
+        return below(F.col("_cuts"))
+    coarse = F.transform(
+        F.sequence(F.lit(STEP), F.lit((ranges - 1) // STEP * STEP), F.lit(STEP)), lambda i: F.element_at("_cuts", i)
+    )
+    skipped = below(coarse) * STEP
+    return skipped + below(F.slice("_cuts", skipped + 1, STEP))

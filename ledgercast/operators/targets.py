@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgercast.dimensions import Dimensions
-from ledgercast.functions.money import exact_sum, from_units
-from ledgercast.operators.ledger import KEYS, cohort_rows, feature_names, pnl_wide
+from ledgercast.functions.money import exact_sum, units_as
+from ledgercast.operators.ledger import KEYS, NOW, cohort_rows, feature_names, pnl_wide
 from ledgercast.plans.cohort_plan import CohortPlan
 
 
@@ -88,27 +88,21 @@ def scoring_total_naive(wide: DataFrame, products: list[str]) -> DataFrame:
 # -- the ledger dataset --------------------------------------------------------------------------
 
 
-def pnl_dataset(ledger: DataFrame, plan: CohortPlan, dims: Dimensions) -> DataFrame:
+def pnl_dataset(ledger: DataFrame, plan: CohortPlan, dims: Dimensions, sample: DataFrame | None = None) -> DataFrame:
     """Ledger features with targets, flags and totals.
 
     The year ahead is summed in the first aggregation, so the single months are never shuffled.
     """
     products = dims.product_names
-    wide = pnl_wide(cohort_rows(ledger, plan, dims), plan, dims)
+    wide = pnl_wide(cohort_rows(ledger, plan, dims), plan, dims, sample=sample)
     items = feature_names(plan, dims)[: -len(products)]
-    ahead = "f_sum" if plan.predict > 0 else None
-
-    def total(part: str) -> Column:
-        columns = [F.col(f"`{p}|{part}`") for p in products]
-        return from_units(sum(columns[1:], columns[0]))
-
-    columns = [from_units(F.col(f"`{p}|now`")).alias(now(p)) for p in products]
-    totals = [total("now").alias("total_pl_-1")]
-    if ahead:
-        columns += [from_units(F.col(f"`{p}|{ahead}`")).alias(target(p)) for p in products]
-        totals.append(total(ahead).alias("total_pl_target"))
-    out = wide.select(*KEYS, *[f"`{c}`" for c in items], *columns, *totals)
-    return sale_flags(out, products) if ahead else out
+    parts = [(NOW, now)] + ([("f_sum", target)] if plan.predict > 0 else [])
+    columns = [units_as(f"{p}|{part}", name(p)) for part, name in parts for p in products]
+    totals = ["(" + " + ".join(f"`{p}|{part}`" for p in products) + f") AS `{name('total')}`" for part, name in parts]
+    out = wide.selectExpr("*", *totals).selectExpr(
+        *KEYS, *[f"`{c}`" for c in items], *columns, *[units_as(name("total"), name("total")) for _, name in parts]
+    )
+    return sale_flags(out, products) if plan.predict > 0 else out
 
 
 @dataclass(frozen=True)

@@ -23,7 +23,7 @@ from ledgercast.operators.models import (
     ModelSpec,
     SearchSettings,
     all_models,
-    fit_model,
+    fit_models,
     predict_all,
 )
 from ledgercast.operators.profile import ProfileParams, fit_params, profile_feature_groups, profile_transform
@@ -78,9 +78,10 @@ def full_dataset(
     dims: Dimensions,
     params: ProfileParams,
     groups: SuffixGroups = SuffixGroups(),
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """Encoded profile beside the ledger dataset, one row per client-month of the plan."""
-    return feature_dataset(profile_transform(profile, params, groups), pnl_dataset(ledger, plan, dims))
+    return feature_dataset(profile_transform(profile, params, groups), pnl_dataset(ledger, plan, dims, sample))
 
 
 def model_features(dataset: DataFrame, dims: Dimensions, groups: SuffixGroups = SuffixGroups()) -> list[str]:
@@ -121,19 +122,25 @@ def train(
     dims: Dimensions,
     settings: SearchSettings = SearchSettings(),
     groups: SuffixGroups = SuffixGroups(),
+    sample: DataFrame | None = None,
+    wanted: list[str] | None = None,
     calibration_mode: str = "contiguous",
     **model_options,
 ) -> tuple[Trained, DataFrame, DataFrame]:
-    """Fit everything; also returns the staged train and test datasets."""
+    """Fit everything; also returns the staged train and test datasets.
+
+    The dataset is staged by report month, so the train and test months are separate folders.
+    """
     spark = profile.sparkSession
-    selected = staged(cohort_profile(profile, plan, groups=groups), stage_path(spark, "profile"))
+    chosen = cohort_profile(profile, plan, sample, wanted, groups)
+    selected = staged(chosen, stage_path(spark, "profile"), "report_dt")
     params = train_params(selected, plan, groups)
-    dataset = full_dataset(selected, ledger, plan, dims, params, groups)
-    dataset = staged(dataset, stage_path(spark, "dataset"))
+    dataset = full_dataset(selected, ledger, plan, dims, params, groups, sample)
+    dataset = staged(dataset, stage_path(spark, "dataset"), "report_dt")
     train_rows, test_rows = cohort_split(dataset, plan)
     train_rows = validation_flag(train_rows, plan.hash_kind)
     features = model_features(dataset, dims, groups)
-    fitted = [fit_model(train_rows, features, spec, settings) for spec in all_models(dims.product_names, **model_options)]
+    fitted = fit_models(train_rows, features, all_models(dims.product_names, **model_options), settings)
     models = {f.spec: f.model for f in fitted}
     table = calibrate(train_rows, models, dims, calibration_mode)
     return Trained(params, models, load_calibration(table, dims.product_names), fitted), train_rows, test_rows
@@ -156,10 +163,11 @@ def scoring_features(
     dims: Dimensions,
     params: ProfileParams,
     groups: SuffixGroups = SuffixGroups(),
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """Features of the scoring month with the encoding of training; no months ahead."""
-    encoded = profile_transform(cohort_profile(profile, plan, groups=groups), params, groups)
-    wide = feature_dataset(encoded, pnl_features(ledger, plan, dims))
+    encoded = profile_transform(cohort_profile(profile, plan, sample, None, groups), params, groups)
+    wide = feature_dataset(encoded, pnl_features(ledger, plan, dims, sample))
     return fill_numbers(scoring_total_naive(wide, dims.product_names))
 
 
@@ -170,9 +178,10 @@ def score_clients(
     dims: Dimensions,
     trained: Trained,
     groups: SuffixGroups = SuffixGroups(),
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """Final scores of every client of the scoring plan, without target columns."""
-    features = scoring_features(profile, ledger, plan, dims, trained.params, groups)
+    features = scoring_features(profile, ledger, plan, dims, trained.params, groups, sample)
     scores = predict_scoring(features, trained.models, dims)
     return combine(scores, trained.calibration, dims.product_names)
 

@@ -484,8 +484,8 @@ ORACLE: dict[str, str] = {
     ),
     "cohort_months": f"""
         SELECT DISTINCT o_orderpriority, last_day(last_day(r.m) + to_months(k.k::INTEGER)) AS report_dt
-        FROM (SELECT o_orderpriority, unnest(generate_series(date_trunc('month', min(o_orderdate)), max(o_orderdate), INTERVAL 1 MONTH)) AS m
-              FROM orders GROUP BY ALL) r, range({1 - H}, {F + 1}) k(k)""",
+        FROM (SELECT o_orderpriority, unnest(generate_series(date_trunc('month', lo), hi, INTERVAL 1 MONTH)) AS m
+              FROM (SELECT o_orderpriority, min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders GROUP BY ALL)) r, range({1 - H}, {F + 1}) k(k)""",
     "cohort_plan": sql(with_clients("cells", fx.PLAN.buckets, "split, bin_lo::BIGINT AS bin_lo, bin_hi::BIGINT AS bin_hi, report_dt")),
     "scoring_cohort_plan": sql(
         with_clients("score_cells", 1, "split, bin_lo::BIGINT AS bin_lo, bin_hi::BIGINT AS bin_hi, report_dt, win_lo, win_hi")

@@ -6,9 +6,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 
-def stage_write(df: DataFrame, path: str) -> str:
+def stage_write(df: DataFrame, path: str, partition_by: str | None = None) -> str:
     """Write Parquet; fail if the path is taken."""
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
     return path
 
 
@@ -16,9 +19,10 @@ def stage_read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def staged(df: DataFrame, path: str) -> DataFrame:
-    """Cut the lineage: write the table once and go on from the files."""
-    return stage_read(df.sparkSession, stage_write(df, path))
+def staged(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Cut the lineage: write the table once and go on from the files, in the same columns."""
+    columns = [f"`{c}`" for c in df.columns]
+    return stage_read(df.sparkSession, stage_write(df, path, partition_by)).select(*columns)
 
 
 def score_sink(scores: DataFrame, project_path: str, directory: str) -> str:
