@@ -31,7 +31,10 @@ def score_counts(scores: DataFrame) -> DataFrame:
 
 
 def quantile_edges(counts: DataFrame, bins: int = BINS) -> DataFrame:
-    """``(product, edges)``: exact inner quantile edges with linear interpolation, distinct."""
+    """``(product, edges)``: exact inner quantile edges with linear interpolation.
+
+    Equal edges are one, and an edge at the smallest score closes no bin.
+    """
     ranked = running_totals(counts, "product", "score", ["n"], counts.count())
 
     def value_at(rank: Column) -> Column:
@@ -45,8 +48,9 @@ def quantile_edges(counts: DataFrame, bins: int = BINS) -> DataFrame:
         at = F.lit(k / bins) * (F.col("_n") - 1)
         lo, hi = F.col(f"_lo{k}"), F.col(f"_hi{k}")
         edges.append(lo + (hi - lo) * (at - F.floor(at)))
-    found = ranked.groupBy("product").agg(F.max("n_total").alias("_n"), *picks)
-    return found.select("product", F.array_distinct(F.array(*edges)).alias("edges"))
+    found = ranked.groupBy("product").agg(F.max("n_total").alias("_n"), F.min("score").alias("_least"), *picks)
+    inner = F.filter(F.array_distinct(F.array(*edges)), lambda edge: edge > F.col("_least"))
+    return found.select("product", inner.alias("edges"))
 
 
 def score_quantile_bins(scores: DataFrame, bins: int = BINS, counts: DataFrame | None = None) -> DataFrame:

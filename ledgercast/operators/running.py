@@ -3,7 +3,8 @@
 Up to ``ROWS_PER_RANGE`` rows a plain window does. Above that each group is cut into value ranges
 at approximate quantiles. Ranges carry their own totals, at most ``groups x ranges`` of them, which
 give every range its starting value; inside a range a window adds the rows up. The cuts only steer
-the work: the totals are exact for any cuts.
+the work: the totals are exact for any cuts. They are read once and then fixed, because a sketch
+computed again may come out a little different.
 """
 
 from __future__ import annotations
@@ -12,8 +13,11 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgercast.sources.local_table import local_table
+
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 4096
+MAX_GROUPS = 1000
 STEP = 64
 
 
@@ -37,7 +41,11 @@ def running_totals(
         F.percentile_approx(order, [(i + 1) / ranges for i in range(ranges - 1)], 20 * ranges).alias("_cuts"),
         *[F.sum(v).alias(f"{v}_total") for v in values],
     )
-    tagged = df.join(F.broadcast(cuts), group).withColumn("_range", _cuts_below(F.col(order), ranges)).drop("_cuts")
+    found = [tuple(row) for row in cuts.limit(MAX_GROUPS + 1).collect()]
+    if len(found) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups in {group}")
+    cuts = F.broadcast(local_table(df.sparkSession, found, cuts.schema))
+    tagged = df.join(cuts, group).withColumn("_range", _cuts_below(F.col(order), ranges)).drop("_cuts")
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         tagged.groupBy(group, "_range")

@@ -306,7 +306,9 @@ def wide_scores(targets: bool = True) -> str:
 def binned(source: str) -> dict[str, str]:
     points = ", ".join(f"{k / 10}" for k in range(1, 10))
     return {
-        "edges": f"SELECT product, list_distinct(quantile_cont(score, [{points}])) AS edges FROM {source} GROUP BY product",
+        "edges": f"""
+            SELECT product, list_filter(list_distinct(q), lambda e: e > least) AS edges
+            FROM (SELECT product, quantile_cont(score, [{points}]) AS q, min(score) AS least FROM {source} GROUP BY product)""",
         "binned": f"""
             SELECT s.*, len(list_filter(edges, lambda e: e < s.score))::BIGINT AS bin FROM {source} s JOIN edges USING (product)""",
         "bin_stats": """
