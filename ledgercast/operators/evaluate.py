@@ -97,16 +97,12 @@ def by_product(wide: DataFrame, products: list[str], columns: dict[str, str] | N
         for name, pattern in (columns or PRODUCT_COLUMNS).items()
         if pattern.format(p=products[0]) in wide.columns
     }
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(p).alias("product"),
-                *[F.col(f"`{pattern.format(p=p)}`").cast("double").alias(name) for name, pattern in columns.items()],
-            )
-            for p in products
-        ]
-    )
-    return wide.select("epk_id", "report_dt", F.explode(rows).alias("x")).select("epk_id", "report_dt", "x.*")
+    cells = [
+        ", ".join([f"'{p}'", *[f"cast(`{pattern.format(p=p)}` AS double)" for pattern in columns.values()]])
+        for p in products
+    ]
+    names = ", ".join(f"`{name}`" for name in ["product", *columns])
+    return wide.selectExpr("epk_id", "report_dt", f"stack({len(products)}, {', '.join(cells)}) AS ({names})")
 
 
 def sale_scores(wide: DataFrame, products: list[str]) -> DataFrame:

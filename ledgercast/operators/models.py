@@ -254,8 +254,8 @@ def gbt_search(rows: DataFrame, spec: ModelSpec, s: SearchSettings):
     best = maps[0]
     if len(maps) > 1:
         fits = in_sample(s.train_share, s.seed)
-        with kept(rows.where(fits)) as train, kept(rows.where(~fits)) as test:
-            scores = {i: evaluator.evaluate(m.transform(test)) for i, m in estimator.fitMultiple(train, maps)}
+        train, test = rows.where(fits), rows.where(~fits)
+        scores = {i: evaluator.evaluate(m.transform(test)) for i, m in estimator.fitMultiple(train, maps)}
         pick = max if evaluator.isLargerBetter() else min
         best = maps[pick(scores, key=scores.get)]
     return estimator.fit(rows, best), {param.name: value for param, value in best.items()}

@@ -45,8 +45,7 @@ def numeric_means(profile: DataFrame, groups: SuffixGroups = SuffixGroups()) ->
     """
     names = columns_of(profile, "numeric", groups)
     means = profile.agg(*[F.coalesce(F.avg(as_double(c)), F.lit(0.0)).alias(c) for c in names])
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("mean")) for c in names])
-    return means.select(F.explode(pairs).alias("x")).select("x.feature", "x.mean")
+    return means.unpivot([], names, "feature", "mean")
 
 
 def category_counts(profile: DataFrame, groups: SuffixGroups = SuffixGroups()) -> DataFrame:

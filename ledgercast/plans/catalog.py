@@ -264,12 +264,12 @@ def complete_windows_only(spark, sf):
 
 def _column_report(df: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
     """One row per column: its group and how many rows are not zero."""
-    columns = [(g, c) for g, names in groups.items() for c in names]
-    counts = df.agg(*[F.count_if(F.col(f"`{c}`") != 0).alias(f"{g}|{c}") for g, c in columns])
-    rows = F.array(
-        *[F.struct(F.lit(g).alias("group"), F.lit(c).alias("column"), F.col(f"`{g}|{c}`").alias("nonzero")) for g, c in columns]
+    labels = {f"{g}|{c}": c for g, names in groups.items() for c in names}
+    counts = df.agg(*[F.expr(f"count_if(`{c}` != 0)").alias(label) for label, c in labels.items()])
+    part = F.split("label", "[|]")
+    return counts.unpivot([], list(labels), "label", "nonzero").select(
+        part[0].alias("group"), part[1].alias("column"), "nonzero"
     )
-    return counts.select(F.explode(rows).alias("x")).select("x.*")
 
 
 @query
