@@ -7,9 +7,10 @@ stays one lazy plan.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgercast.dimensions import Dimensions
 from ledgercast.operators.calibration import BINS, CalibrationBin, calibration_fit, load_calibration
@@ -30,10 +31,12 @@ from ledgercast.operators.profile import ProfileParams, fit_params, profile_feat
 from ledgercast.operators.targets import column_groups, drop_targets, pnl_dataset, scoring_total_naive
 from ledgercast.plans.cohort_plan import CohortPlan
 from ledgercast.session import stage_path
+from ledgercast.sources.local_table import local_table
 from ledgercast.sources.profile import SuffixGroups, select_by_suffix, select_feature_sample
-from ledgercast.sources.stages import model_load, model_save, score_sink, staged
+from ledgercast.sources.stages import model_load, model_save, score_sink, stage_read, stage_write, staged
 
 KEYS = ["epk_id", "report_dt"]
+CALIBRATION = "product string, bin int, lo double, hi double, coef double"
 
 
 @dataclass
@@ -52,6 +55,27 @@ class Trained:
     def load_models(path: str, specs: list[ModelSpec]) -> dict[ModelSpec, PipelineModel]:
         return {spec: model_load(path, spec.id) for spec in specs}
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Models, encoding, calibration and, after a fit, importances, under one project folder."""
+        self.save_models(f"{path}/models")
+        means = list(self.params.means.items())
+        codes = [(f, value, code) for f, table in self.params.codes.items() for value, code in table.items()]
+        bins = [(p, i, b.lo, b.hi, b.coef) for p, table in self.calibration.items() for i, b in enumerate(table)]
+        stage_write(local_table(spark, means, "feature string, mean double"), f"{path}/profile_means")
+        stage_write(local_table(spark, codes, "feature string, value string, code double"), f"{path}/profile_codes")
+        stage_write(local_table(spark, bins, CALIBRATION), f"{path}/calibration")
+        if self.fitted:
+            tables = [f.importances.withColumn("model", F.lit(f.spec.id)) for f in self.fitted]
+            stage_write(reduce(DataFrame.union, tables), f"{path}/feature_importances")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, dims: Dimensions, **model_options) -> Trained:
+        means = stage_read(spark, f"{path}/profile_means")
+        codes = stage_read(spark, f"{path}/profile_codes")
+        calibration = load_calibration(stage_read(spark, f"{path}/calibration"), dims.product_names)
+        params = ProfileParams.load(means, codes, codes.select("feature").distinct().count())
+        return cls(params, cls.load_models(f"{path}/models", all_models(dims.product_names, **model_options)), calibration)
+
 
 def cohort_profile(
     profile: DataFrame,
@@ -164,9 +188,10 @@ def scoring_features(
     params: ProfileParams,
     groups: SuffixGroups = SuffixGroups(),
     sample: DataFrame | None = None,
+    wanted: list[str] | None = None,
 ) -> DataFrame:
     """Features of the scoring month with the encoding of training; no months ahead."""
-    encoded = profile_transform(cohort_profile(profile, plan, sample, None, groups), params, groups)
+    encoded = profile_transform(cohort_profile(profile, plan, sample, wanted, groups), params, groups)
     wide = feature_dataset(encoded, pnl_features(ledger, plan, dims, sample))
     return fill_numbers(scoring_total_naive(wide, dims.product_names))
 
@@ -179,9 +204,10 @@ def score_clients(
     trained: Trained,
     groups: SuffixGroups = SuffixGroups(),
     sample: DataFrame | None = None,
+    wanted: list[str] | None = None,
 ) -> DataFrame:
     """Final scores of every client of the scoring plan, without target columns."""
-    features = scoring_features(profile, ledger, plan, dims, trained.params, groups, sample)
+    features = scoring_features(profile, ledger, plan, dims, trained.params, groups, sample, wanted)
     scores = predict_scoring(features, trained.models, dims)
     return combine(scores, trained.calibration, dims.product_names)
 

@@ -36,6 +36,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="ledgercast-")
+    if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,12 @@ class SuffixGroups:
     numeric: tuple[str, ...] = ("amt", "days", "nv", "pct", "qty", "rate")
     date: tuple[str, ...] = ("dt",)
 
+    @classmethod
+    def from_json(cls, path: str) -> SuffixGroups:
+        """Read ``{role: [suffixes]}``."""
+        saved = json.loads(Path(path).read_text(encoding="utf-8"))
+        return cls(**{role: tuple(suffixes) for role, suffixes in saved.items()})
+
     def role(self, column: str) -> str | None:
         suffix = column.rsplit("_", 1)[-1]
         for role in ("categorical", "numeric", "date"):
