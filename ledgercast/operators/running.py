@@ -13,7 +13,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgercast.sources.local_table import local_table
+from ledgercast.sources.local_table import broadcast_if_small, local_table
 
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 4096
@@ -54,7 +54,7 @@ def running_totals(
     )
     inside = Window.partitionBy(group, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = tagged.withColumns({f"{v}_upto": F.sum(v).over(inside) for v in values})
-    joined = local.join(F.broadcast(starts), [group, "_range"])
+    joined = local.join(broadcast_if_small(starts, ranges * len(found)), [group, "_range"])
     sums = {f"{v}_upto": F.col(f"{v}_upto") + F.col(f"_{v}_start") for v in values}
     return joined.withColumns(sums).drop("_range", *[f"_{v}_start" for v in values])
 

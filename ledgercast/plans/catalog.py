@@ -480,6 +480,13 @@ def ledger_sort(spark, sf):
     return L.ledger_sort(_sums(spark, sf))
 
 
+@query
+def layout_hints(spark, sf):
+    """One folder per month, a client's rows together and in order inside each file."""
+    path = SG.stage_write(L.ledger_sort(_sums(spark, sf)), stage_path(spark, "sorted-ledger"), "report_dt")
+    return SG.stage_read(spark, path).select("epk_id", "product", "item", "report_dt", "pl_value")
+
+
 # -- scalar expressions --------------------------------------------------------------------------
 
 

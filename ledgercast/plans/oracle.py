@@ -570,6 +570,7 @@ ORACLE: dict[str, str] = {
         FROM (SELECT CAST(l_partkey AS VARCHAR) AS feature, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DOUBLE) AS s
               FROM lineitem GROUP BY ALL) ORDER BY s DESC, feature LIMIT 300""",
     "ledger_sort": sql("SELECT epk_id, product, item, report_dt, CAST(v AS DOUBLE) AS pl_value FROM sums"),
+    "layout_hints": sql("SELECT epk_id, product, item, report_dt, CAST(v AS DOUBLE) AS pl_value FROM sums"),
     "row_mean": live("mean"),
     "row_min_max": live("min", "max"),
     "scatter": live("scatter"),

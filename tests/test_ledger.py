@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+from collections import Counter
 from dataclasses import replace
 
 import pytest
@@ -181,3 +183,39 @@ def test_history_window_length_is_free(spark, sf):
     short = replace(fx.PLAN, history=3, predict=4)
     frame = T.pnl_dataset(fx.ledger(spark, sf), short, fx.DIMENSIONS)
     assert "P1_Fee_-3" in frame.columns and "P1_Fee_-4" not in frame.columns
+
+
+def test_client_with_a_third_of_all_rows(spark):
+    """Brute force over a ledger in which one client holds a third of the rows."""
+    rng = random.Random(11)
+    rows = []
+    for n in range(3000):
+        client = 7 if n % 3 == 0 else 100 + rng.randint(0, 40)
+        rows.append((client, rng.choice([1, 2, 3]), rng.choice([10, 20, 99]), rng.randint(-8, 4), rng.randint(-500, 500) / 100))
+    want = {}
+    for client, product, item, offset, value in rows:
+        if product == 3 or not -5 <= offset <= 2:
+            continue
+        row = want.setdefault(client, Counter())
+        if item == 99:
+            continue
+        p, i = {1: "A", 2: "B"}[product], {10: "X", 20: "Y"}[item]
+        if offset <= 0:
+            row[f"{p}_{i}_{offset - 1}"] += round(value * 100)
+        if offset == 0:
+            row[f"{p}_pl_-1"] += round(value * 100)
+        if offset > 0:
+            row[f"{p}_pl_target"] += round(value * 100)
+    got = {r["epk_id"]: r.asDict() for r in T.pnl_dataset(ledger(spark, rows), plan(), DIMS).collect()}
+    assert set(got) == set(want)
+    names = [f"{p}_{i}_-{k}" for p in "AB" for i in "XY" for k in range(1, 7)] + [f"{p}_{c}" for p in "AB" for c in ("pl_-1", "pl_target")]
+    for client, row in want.items():
+        assert {c: got[client][c] for c in names} == {c: row[c] / 100 for c in names}
+
+
+def test_client_with_two_report_months_gets_both(spark):
+    months = (month_end(REPORT, -1), REPORT)
+    two = CohortPlan(tuple(Cell("all", 0, 0, m, m) for m in months), 1, 6, 2)
+    rows = {r["report_dt"]: r for r in T.pnl_dataset(ledger(spark, [(1, 1, 10, 0, 5.0)]), two, DIMS).collect()}
+    assert (rows[REPORT]["A_pl_-1"], rows[REPORT]["A_pl_target"]) == (5, 0)
+    assert (rows[months[0]]["A_pl_-1"], rows[months[0]]["A_pl_target"]) == (0, 5)
