@@ -784,7 +784,7 @@ def sample_rows(spark, sf):
 @query
 def rf_importance(spark, sf):
     trained, train, _ = _trained(spark, sf)
-    features = J.model_features(train, MODEL_DIMS)
+    features = J.model_features(train, PLAN, MODEL_DIMS)
     return M.rf_importance(train, features, M.model_total(), MODEL_SETTINGS)
 
 
@@ -799,7 +799,7 @@ def feature_importance_table(spark, sf):
 def _fit_and_score(spec: M.ModelSpec, settings: M.SearchSettings) -> Query:
     def make(spark, sf):
         _, train, test = _trained(spark, sf)
-        fitted = M.fit_model(train, J.model_features(train, MODEL_DIMS), spec, settings)
+        fitted = M.fit_model(train, J.model_features(train, PLAN, MODEL_DIMS), spec, settings)
         return M.predict_one(test, spec, fitted.model).select(*KEYS, f"`{spec.score}`")
 
     return make

@@ -18,7 +18,7 @@ from ledgercast.operators.cohort import cohort_filter_profile, cohort_split, val
 from ledgercast.operators.combine import combine
 from ledgercast.operators.dataset import feature_dataset, fill_numbers
 from ledgercast.operators.evaluate import evaluate, sale_scores
-from ledgercast.operators.ledger import keep_sample, pnl_features
+from ledgercast.operators.ledger import feature_names, keep_sample, pnl_features
 from ledgercast.operators.models import (
     FittedModel,
     ModelSpec,
@@ -28,7 +28,7 @@ from ledgercast.operators.models import (
     predict_all,
 )
 from ledgercast.operators.profile import ProfileParams, fit_params, profile_feature_groups, profile_transform
-from ledgercast.operators.targets import column_groups, drop_targets, pnl_dataset, scoring_total_naive
+from ledgercast.operators.targets import drop_targets, now, pnl_dataset, scoring_total_naive, target
 from ledgercast.plans.cohort_plan import CohortPlan
 from ledgercast.session import stage_path
 from ledgercast.sources.local_table import local_table
@@ -108,18 +108,22 @@ def full_dataset(
     return feature_dataset(profile_transform(profile, params, groups), pnl_dataset(ledger, plan, dims, sample))
 
 
-def model_features(dataset: DataFrame, dims: Dimensions, groups: SuffixGroups = SuffixGroups()) -> list[str]:
+def model_features(
+    dataset: DataFrame, plan: CohortPlan, dims: Dimensions, groups: SuffixGroups = SuffixGroups()
+) -> list[str]:
     """Profile features by role, ledger features, and the report-month total."""
-    ledger_prefixes = tuple(f"{p}_" for p in dims.product_names)
-    profile_columns = [c for c in dataset.columns if not c.startswith(ledger_prefixes + ("total_pl_",))]
-    roles = profile_feature_groups(profile_columns, groups)
-    ledger_columns = [c for c in dataset.columns if c.startswith(ledger_prefixes) and "target" not in c]
+    ledger_columns = feature_names(plan, dims)
+    others = set(ledger_columns) | set(outcome_columns(dataset, dims))
+    roles = profile_feature_groups([c for c in dataset.columns if c not in others], groups)
     return roles["numeric"] + roles["date"] + roles["categorical"] + ledger_columns + ["total_pl_-1"]
 
 
 def outcome_columns(dataset: DataFrame, dims: Dimensions) -> list[str]:
-    prefixes = tuple(f"{p}_" for p in dims.product_names) + ("total_pl_",)
-    return column_groups([c for c in dataset.columns if c.startswith(prefixes)]).outcomes()
+    """Targets, flags and naive forecasts of the dataset; in scoring only the naive ones exist."""
+    products = dims.product_names
+    wanted = [target(p) for p in products] + [f"{p}_sales_pl_target" for p in products] + [now(p) for p in products]
+    wanted += [target("total"), now("total")]
+    return [c for c in wanted if c in dataset.columns]
 
 
 def predict_outcomes(dataset: DataFrame, models: dict[ModelSpec, PipelineModel], dims: Dimensions) -> DataFrame:
@@ -163,7 +167,7 @@ def train(
     dataset = staged(dataset, stage_path(spark, "dataset"), "report_dt")
     train_rows, test_rows = cohort_split(dataset, plan)
     train_rows = validation_flag(train_rows, plan.hash_kind)
-    features = model_features(dataset, dims, groups)
+    features = model_features(dataset, plan, dims, groups)
     fitted = fit_models(train_rows, features, all_models(dims.product_names, **model_options), settings)
     models = {f.spec: f.model for f in fitted}
     table = calibrate(train_rows, models, dims, calibration_mode)

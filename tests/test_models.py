@@ -106,6 +106,9 @@ def test_model_list():
 
 def test_whole_job(spark, sf):
     trained, train, test = catalog._trained(spark, sf)
+    features = J.model_features(train, catalog.PLAN, catalog.MODEL_DIMS)
+    assert len(features) == len(set(features)) and set(features) <= set(train.columns)
+    assert not [c for c in features if "target" in c or c in ("epk_id", "report_dt", "is_valid")]
     report = J.test_report(trained, test, catalog.MODEL_DIMS)
     found = {(r["product"], r["part"]) for r in report.select("product", "part").distinct().collect()}
     assert {("Card", "rich_regression_model"), ("Loan", "poor_classification_model"), ("all", "total_naive_year")} <= found
