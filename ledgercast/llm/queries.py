@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgercast.llm import decontaminate, mixing, quality, sharding, simhash
+from ledgercast.llm import decontaminate, mixing, quality, sharding, simhash, token_files, token_prefix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,21 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_token_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_prefix.prefix_table(table(spark, sf_dir, "documents"), vocabulary_path())
+    return token_prefix.over_limit(counted).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op9_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_digest(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.apply_policy(quality.quality_ledger(table(spark, sf_dir, "documents")))
     base_kept = quality.BASE_POLICY.keeps(F.col("failures"))
@@ -41,6 +56,8 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_jump_shards": op3_jump_shards,
     "op7_simhash": op7_simhash,
+    "op8_token_prefix": op8_token_prefix,
+    "op9_huffman_tokens": op9_huffman_tokens,
     "op10_quality_rules": op10_quality_rules,
 }
 
