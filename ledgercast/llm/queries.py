@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgercast.llm import decontaminate, mixing, quality, sharding, simhash, token_files, token_prefix
+from ledgercast.llm import (
+    decontaminate, lm_score, mixing, quality, sharding, simhash, substring_dedup, token_files, token_prefix, url_filter,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,52 @@ def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"), 8)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """The pages as fetched over the days of 2024. The table has no dates, so the id gives one."""
+    day = F.date_add(F.to_date(F.lit("2024-01-01")), F.pmod(F.col("page_id") * 37, F.lit(360)).cast("int"))
+    return pages.select("page_id", "url", day.alias("fetched_on"))
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated entries drawn from the pages' own hosts and addresses, so that lists grow with the web.
+
+    Hosts with a telling name are blocked from the first day. Of the others a part is blocked on one
+    day and freed on a later one, and some addresses are let through for good.
+    """
+    address = pages.select(url_filter.host(F.col("url")).alias("host"), url_filter.path(F.col("url")).alias("path"))
+    address = address.where("host <> ''")
+    hosts = address.select("host").distinct().withColumn("h", F.md5("host"))
+    number = lambda column, at: F.conv(F.substring(column, at, 4), 16, 10).cast("int")
+    start = F.to_date(F.lit("2024-01-01"))
+    key, added = F.concat(F.lit("h:"), "host"), F.date_add(start, number("h", 1) % 240)
+    telling = F.col("host").rlike("spam|pills|casino")
+    bad = hosts.where(telling).select(key.alias("key"), F.lit("block").alias("verdict"), F.lit("add").alias("action"), start.alias("listed_on"))
+    some = hosts.where(~telling & (number("h", 5) % 3 == 0))
+    on = some.select(key.alias("key"), F.lit("block").alias("verdict"), F.lit("add").alias("action"), added.alias("listed_on"))
+    off = some.select(
+        key.alias("key"), F.lit("block").alias("verdict"), F.lit("remove").alias("action"),
+        F.date_add(added, number("h", 9) % 90 + 1).alias("listed_on"),
+    )
+    pages_let = address.select(F.concat(F.lit("u:"), "host", "path").alias("key")).distinct().withColumn("h", F.md5("key"))
+    allowed = pages_let.where(number("h", 1) % 16 == 0).select(
+        "key", F.lit("allow").alias("verdict"), F.lit("add").alias("action"), F.date_add(start, number("h", 5) % 360).alias("listed_on")
+    )
+    return bad.union(on).union(off).union(allowed)
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge_captures(captures(pages), list_entries(pages))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -55,6 +103,9 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mix_sources": op2_mix_sources,
     "op3_jump_shards": op3_jump_shards,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_lm_score": op5_lm_score,
+    "op6_url_filter": op6_url_filter,
     "op7_simhash": op7_simhash,
     "op8_token_prefix": op8_token_prefix,
     "op9_huffman_tokens": op9_huffman_tokens,
@@ -93,6 +144,32 @@ taken AS (
   SELECT doc_id, sum(size) AS taken FROM served WHERE served <= (SELECT sum(size) FROM docs) GROUP BY doc_id)
 SELECT p.doc_id, p.size, p.source_size, p.target, CAST(coalesce(t.taken, 0) AS BIGINT) AS taken
 FROM placed p LEFT JOIN taken t ON p.doc_id = t.doc_id
+""",
+    "op6_url_filter": """
+WITH a AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 37) % 360 AS INTEGER) AS fetched_on,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)(?::[0-9]*)?([^?#]*)', 1)) AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)(?::[0-9]*)?([^?#]*)', 2) AS path FROM pages),
+hosts AS (SELECT DISTINCT host, md5(host) AS h FROM a WHERE host <> ''),
+addresses AS (SELECT DISTINCT 'u:' || host || path AS key, md5('u:' || host || path) AS h FROM a WHERE host <> ''),
+numbers AS (
+  SELECT host, CAST('0x' || h[1:4] AS INTEGER) % 240 AS added, CAST('0x' || h[5:8] AS INTEGER) % 3 = 0 AS chosen,
+         CAST('0x' || h[9:12] AS INTEGER) % 90 + 1 AS held, regexp_matches(host, 'spam|pills|casino') AS telling FROM hosts),
+spans AS (
+  SELECT 'h:' || host AS key, 'block' AS verdict, DATE '2024-01-01' AS valid_from, DATE '9999-12-31' AS valid_to FROM numbers WHERE telling
+  UNION ALL SELECT 'h:' || host, 'block', DATE '2024-01-01' + added, DATE '2024-01-01' + added + held FROM numbers WHERE NOT telling AND chosen
+  UNION ALL SELECT key, 'allow', DATE '2024-01-01' + CAST('0x' || h[5:8] AS INTEGER) % 360, DATE '9999-12-31' FROM addresses WHERE CAST('0x' || h[1:4] AS INTEGER) % 16 = 0),
+keyed AS (
+  SELECT page_id, fetched_on, 1 AS whole, len(string_split(host, '.')) AS names, 'u:' || host || path AS key FROM a WHERE host <> ''
+  UNION ALL
+  SELECT page_id, fetched_on, 0, len(parts) - i + 1, 'h:' || array_to_string(parts[i:], '.')
+  FROM (SELECT page_id, fetched_on, string_split(host, '.') AS parts, unnest(range(1, greatest(2, CAST(len(string_split(host, '.')) AS BIGINT)))) AS i FROM a WHERE host <> '')),
+best AS (
+  SELECT k.page_id, s.verdict, k.key, s.valid_from,
+         row_number() OVER (PARTITION BY k.page_id ORDER BY whole DESC, names DESC, k.key DESC, s.verdict = 'block' DESC, s.verdict DESC, s.valid_from DESC) AS r
+  FROM keyed k JOIN spans s ON k.key = s.key AND k.fetched_on >= s.valid_from AND k.fetched_on < s.valid_to)
+SELECT a.page_id, a.url, CAST(a.fetched_on AS DATE) AS fetched_on, coalesce(b.verdict, 'allow') AS verdict, b.key, CAST(b.valid_from AS DATE) AS valid_from
+FROM a LEFT JOIN (SELECT * FROM best WHERE r = 1) b ON a.page_id = b.page_id
 """,
     "op10_quality_rules": f"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
