@@ -51,13 +51,13 @@ def all_of_length(sums: np.ndarray, length: int) -> np.ndarray:
     return mixed((sums[length : length + count] - sums[:count]) * inverse[:count])
 
 
-def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
-    """Smallest of every ``width`` neighbours, by doubling."""
+def sliding(best: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
+    """``best`` (minimum or maximum) of every ``width`` neighbours, by doubling."""
     if len(values) < width:
         return values[:0]
     covered = 1
     while 2 * covered <= width:
-        values = np.minimum(values[:-covered], values[covered:])
+        values = best(values[:-covered], values[covered:])
         covered *= 2
     rest = width - covered
-    return np.minimum(values[:-rest], values[rest:]) if rest else values
+    return best(values[:-rest], values[rest:]) if rest else values

@@ -12,8 +12,8 @@ with them only in part: of these its 400-byte strings are hashed one by one and
 an aggregation with map-side combine, so a passage in a third of all documents is one row per task.
 
 Matches never cross documents. Null texts are empty. Equal texts are all copies of each other. The
-verdict depends on a text only, so rows with the same text (told by hash and length) share it.
-Strings are compared by 64-bit hashes.
+verdict depends on a text only, so rows with the same text share it. Texts and strings are compared
+by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgercast.llm.rolling import all_of_length, running, sliding_minimum, stretches
+from ledgercast.llm.rolling import all_of_length, running, sliding, stretches
 from ledgercast.session import stage_path
 from ledgercast.sources.stages import staged
 
@@ -33,7 +33,7 @@ LENGTH = 400
 SUFFIX = 200
 BATCHES = 4
 TOGETHER = 1 << 20
-BROADCAST_TEXTS = 300_000
+BROADCAST_ITEMS = 400_000
 
 
 def byte_groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -49,23 +49,33 @@ def byte_groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 
 def runs_of(texts: list[bytes], length: int, suffix: int) -> tuple[np.ndarray, ...]:
-    """Of texts laid end to end: text number, start, number of starts, suffix and run hash of each run."""
+    """Of texts laid end to end: text number, start, number of starts, suffix, run hash of each run, and
+    how often the suffix stands in the run."""
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     firsts = np.cumsum(sizes) - sizes
-    if len(data) < length:
-        empty = np.empty(0, dtype=np.int64)
-        return empty, empty, empty, empty, empty
+    room = np.maximum(0, sizes - length + 1)
+    if not room.sum():
+        return tuple(np.empty(0, dtype=np.int64) for _ in range(6))
     sums = running(data)
-    least = sliding_minimum(all_of_length(sums, suffix), length - suffix + 1)[: len(data) - length + 1]
-    owner = np.repeat(np.arange(len(texts)), np.maximum(0, sizes - length + 1))
-    starts = np.arange(len(owner)) - np.repeat(np.cumsum(np.maximum(0, sizes - length + 1)) - np.maximum(0, sizes - length + 1), np.maximum(0, sizes - length + 1))
-    least = least[firsts[owner] + starts]
-    fresh = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])][: len(owner)])
+    hashes = all_of_length(sums, suffix)
+    width = length - suffix + 1
+    every = sliding(np.minimum, hashes, width)
+    owner = np.repeat(np.arange(len(texts)), room)
+    starts = np.arange(len(owner)) - np.repeat(np.cumsum(room) - room, room)
+    least = every[firsts[owner] + starts]
+    fresh = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])])
     counts = np.diff(np.r_[fresh, len(owner)])
-    at = firsts[owner[fresh]] + starts[fresh]
+    at, key = firsts[owner[fresh]] + starts[fresh], least[fresh]
     run = stretches(sums, at, at + counts + length - 1)
-    return owner[fresh], starts[fresh], counts, least[fresh].view(np.int64), run.view(np.int64)
+    # Places that are the smallest of some string around them, by value and place.
+    edge = np.zeros(width - 1, dtype=np.uint64)
+    places = np.flatnonzero(sliding(np.maximum, np.concatenate([edge, every, edge]), width) == hashes)
+    values, number = np.unique(hashes[places], return_inverse=True)
+    sorted_places = np.sort(number * len(data) + places)
+    first_place = np.searchsorted(values, key) * len(data) + at
+    inside = np.searchsorted(sorted_places, first_place + counts + width - 1) - np.searchsorted(sorted_places, first_place)
+    return owner[fresh], starts[fresh], counts, key.view(np.int64), run.view(np.int64), inside
 
 
 def _runs(length: int, suffix: int):
@@ -73,11 +83,10 @@ def _runs(length: int, suffix: int):
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for low, high in byte_groups(texts):
-                owner, starts, counts, key, run = runs_of(texts[low:high], length, suffix)
+                owner, starts, counts, key, run, inside = runs_of(texts[low:high], length, suffix)
                 ids = batch.column(1).to_numpy()[low:high][owner]
-                sizes = batch.column(2).to_numpy()[low:high][owner]
-                columns = [pa.array(c) for c in (key, run, ids, sizes, starts, counts)]
-                yield pa.RecordBatch.from_arrays(columns, ["suffix", "run", "text_id", "n_bytes", "start", "starts"])
+                columns = [pa.array(c) for c in (key, run, ids, starts.astype(np.int32), counts.astype(np.int32), inside > 1)]
+                yield pa.RecordBatch.from_arrays(columns, ["suffix", "run", "text_id", "start", "starts", "loops"])
 
     return runs
 
@@ -90,17 +99,17 @@ class SuffixIndex:
         self.levels: list[tuple[int, DataFrame]] = []
 
     def add(self, runs: DataFrame) -> DataFrame:
-        """Take a batch in; ``suffix`` of its runs that occur twice in it or in any level."""
-        batch = runs.groupBy("suffix", "run").agg(F.count("*").alias("n"))
+        """Take a batch in; ``suffix`` of its runs that occurs twice in it, or in it and any level."""
+        batch = runs.groupBy("suffix", "run").agg(F.count("*").alias("n"), F.max("loops").alias("loops"))
         batch = staged(batch.sortWithinPartitions("suffix"), stage_path(self.spark, "level"))
-        found = batch.groupBy("suffix").agg(F.sum("n").alias("n")).where("n > 1").select("suffix")
+        found = batch.groupBy("suffix").agg(F.sum("n").alias("n"), F.max("loops").alias("loops")).where("n > 1 OR loops").select("suffix")
         for _, level in self.levels:
             found = found.union(batch.join(level.select("suffix"), "suffix", "left_semi").select("suffix"))
         found = staged(found.distinct(), stage_path(self.spark, "found"))
         size = 1
         while self.levels and self.levels[-1][0] == size:
             _, level = self.levels.pop()
-            both = batch.union(level).groupBy("suffix", "run").agg(F.sum("n").alias("n"))
+            both = batch.union(level).groupBy("suffix", "run").agg(F.sum("n").alias("n"), F.max("loops").alias("loops"))
             batch = staged(both.sortWithinPartitions("suffix"), stage_path(self.spark, "level"))
             size *= 2
         self.levels.append((size, batch))
@@ -117,19 +126,21 @@ class SuffixIndex:
 def _strings(length: int):
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, text_id, size, wanted in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for text, text_id, wanted in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 sums = running(np.frombuffer(text, dtype=np.uint8))
                 hashes = all_of_length(sums, length).view(np.int64)
-                at = np.concatenate([np.arange(w["start"], w["start"] + w["starts"]) for w in wanted])
-                weight = np.concatenate([np.full(w["starts"], w["n"]) for w in wanted])
-                columns = [pa.array(hashes[at]), pa.array(weight), pa.array([text_id] * len(at)), pa.array([size] * len(at)), pa.array(at)]
-                yield pa.RecordBatch.from_arrays(columns, ["string", "n", "text_id", "n_bytes", "start"])
+                at = np.concatenate([np.arange(w["start"], w["start"] + w["starts"], dtype=np.int32) for w in wanted])
+                weight = np.concatenate([np.full(w["starts"], w["n"], dtype=np.int64) for w in wanted])
+                columns = [pa.array(hashes[at]), pa.array(weight), pa.array([text_id] * len(at)), pa.array(at)]
+                yield pa.RecordBatch.from_arrays(columns, ["string", "n", "text_id", "start"])
 
     return strings
 
 
-def bounded(rows: DataFrame) -> DataFrame:
-    return F.broadcast(rows) if rows.count() <= BROADCAST_TEXTS else rows
+def bounded(rows: DataFrame, items: str) -> DataFrame:
+    """A written table, marked for broadcast if all its ``items`` arrays together are short enough."""
+    total = rows.agg(F.sum(F.size(items))).first()[0] or 0
+    return F.broadcast(rows) if total <= BROADCAST_ITEMS else rows
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
@@ -139,58 +150,48 @@ def texts_of(docs: DataFrame) -> DataFrame:
     )
 
 
+def union_of_ranges(ranges: DataFrame) -> DataFrame:
+    """``text_id, spans``: the union of the ranges ``text_id, start, end`` as sorted, separate spans."""
+    by_start = Window.partitionBy("text_id").orderBy("start", "end")
+    reached = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    opened = ranges.withColumn("opens", F.when(F.col("start") <= reached, 0).otherwise(1))
+    numbered = opened.withColumn("span", F.sum("opens").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = numbered.groupBy("text_id", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return spans.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, suffix: int = SUFFIX, batches: int = BATCHES) -> DataFrame:
-    """``text_id, n_bytes, spans`` of distinct texts: sorted (start, end) byte ranges, not merged."""
+    """``text_id, spans`` of distinct texts: sorted (start, end) byte ranges that lie apart."""
     spark = docs.sparkSession
     texts = texts_of(docs)
-    schema = "suffix long, run long, text_id long, n_bytes long, start long, starts long"
+    schema = "suffix long, run long, text_id long, start int, starts int, loops boolean"
     long_enough = texts.where(F.col("n_bytes") >= length)
-    runs = staged(long_enough.select("text", "text_id", "n_bytes").mapInArrow(_runs(length, suffix), schema), stage_path(spark, "runs"))
+    runs = staged(long_enough.select("text", "text_id").mapInArrow(_runs(length, suffix), schema), stage_path(spark, "runs"))
     index, found = SuffixIndex(spark), None
     for batch in range(batches):
         hits = index.add(runs.where(F.pmod(F.col("text_id"), F.lit(batches)) == batch))
         found = hits if found is None else found.union(hits)
-    known = index.runs().join(found.distinct(), "suffix", "left_semi")
-    known = staged(known, stage_path(spark, "known"))
+    known = staged(index.runs().join(found.distinct(), "suffix", "left_semi"), stage_path(spark, "known"))
 
-    again = known.where("n > 1").select("run")
-    whole = runs.join(again, "run", "left_semi").select("text_id", "n_bytes", "start", "starts").distinct()
-    whole = whole.select("text_id", "n_bytes", "start", (F.col("start") + F.col("starts") - 1 + length).alias("end"))
+    end_of_run = (F.col("start") + F.col("starts") - 1 + length).alias("end")
+    whole = runs.join(known.where("n > 1").select("run"), "run", "left_semi").select("text_id", "start", end_of_run).distinct()
 
     # Suffixes with a run seen only once: one occurrence of each of their runs is read again.
     unsure = known.where("n = 1").select("suffix").distinct()
-    place = F.struct("text_id", "n_bytes", "start", "starts")
     asked = runs.join(known.join(unsure, "suffix", "left_semi"), ["suffix", "run"]).groupBy("suffix", "run").agg(
-        F.first("n").alias("n"), F.min(place).alias("p")
+        F.first("n").alias("n"), F.min(F.struct("text_id", "start", "starts")).alias("p")
     )
-    asked = asked.groupBy("p.text_id", "p.n_bytes").agg(F.collect_list(F.struct("p.start", "p.starts", "n")).alias("wanted"))
+    asked = asked.groupBy("p.text_id").agg(F.collect_list(F.struct("p.start", "p.starts", "n")).alias("wanted"))
     asked = staged(asked, stage_path(spark, "asked"))
-    sources = texts.join(bounded(asked), ["text_id", "n_bytes"]).groupBy("text_id", "n_bytes").agg(
+    sources = texts.select("text", "text_id").join(bounded(asked, "wanted"), "text_id").groupBy("text_id").agg(
         F.first("text").alias("text"), F.first("wanted").alias("wanted")
     )
-    strings = sources.select("text", "text_id", "n_bytes", "wanted").mapInArrow(
-        _strings(length), "string long, n long, text_id long, n_bytes long, start long"
+    strings = sources.select("text", "text_id", "wanted").mapInArrow(
+        _strings(length), "string long, n long, text_id long, start int"
     )
-    strings = staged(strings, stage_path(spark, "strings"))
     twice = strings.groupBy("string").agg(F.sum("n").alias("total")).where("total > 1").select("string")
-    single = strings.where("n = 1").join(twice, "string", "left_semi").select(
-        "text_id", "n_bytes", "start", (F.col("start") + length).alias("end")
-    )
-    return whole.union(single).groupBy("text_id", "n_bytes").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")
-    )
-
-
-def merged(spans: list) -> list[tuple[int, int]]:
-    """Sorted ranges, with those that touch or overlap joined."""
-    out: list[tuple[int, int]] = []
-    for span in spans or ():
-        start, end = span["start"], span["end"]
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((start, end))
-    return out
+    single = strings.where("n = 1").select("string", "text_id", "start").join(twice, "string", "left_semi")
+    return union_of_ranges(whole.union(single.select("text_id", "start", (F.col("start") + length).alias("end"))))
 
 
 def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -205,7 +206,7 @@ def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         removed, count, digest = [], [], []
         for text, spans in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            spans = merged(spans)
+            spans = [(span["start"], span["end"]) for span in spans or ()]
             kept = cut(text, spans)
             removed.append(len(text) - len(kept))
             count.append(len(spans))
@@ -217,6 +218,6 @@ def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(docs: DataFrame, length: int = LENGTH, suffix: int = SUFFIX, batches: int = BATCHES) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, a row per row of ``docs``."""
     spans = staged(repeated_spans(docs, length, suffix, batches), stage_path(docs.sparkSession, "spans"))
-    joined = texts_of(docs).join(bounded(spans), ["text_id", "n_bytes"], "left").select("doc_id", "n_bytes", "text", "spans")
+    joined = texts_of(docs).join(bounded(spans, "spans"), "text_id", "left").select("doc_id", "n_bytes", "text", "spans")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(_cut_rows, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
