@@ -15,7 +15,7 @@ and are not searched. Documents that share an id are judged by their texts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgercast.session import stage_path
 from ledgercast.sources.stages import staged
@@ -33,20 +33,27 @@ UNITS = (
     "meters?|metres?|miles?|feet|inches|grams?|liters?|litres?|seconds?|minutes?|hours?|days?|weeks?|months?|years?|"
     "dollars?|euros?|cents?|percent|degrees?"
 )
-NUMBER_SLOT, NAME_SLOT, UNIT_SLOT = "\u0001", "\u0002", "\u0003"
+NUMBER_SLOT, NAME_SLOT, UNIT_SLOT, POINT = "\u0001", "\u0002", "\u0003", "\u0004"
 SLOTS = f"[{NUMBER_SLOT}-{UNIT_SLOT}]"
 NUMBER = r"\p{N}+(?:[.,:]\p{N}+)*"
+# Everything between words: ASCII but letters, digits and the marks; the punctuation of other blocks.
+BETWEEN = (
+    r"[\x00\x05-/:-@\[-`{-\xA9\xAB-\xB1\xB4\xB6-\xB8\xBB\xBF\xD7\xF7"
+    r"\x{2000}-\x{206F}\x{20A0}-\x{20CF}\x{3000}-\x{303F}]+"
+)
 
 
 def marked_text(text: Column) -> Column:
     """Lower-cased tokens split by one space; each slot is its mark and its value."""
-    text = F.translate(F.coalesce(text, F.lit("")), NUMBER_SLOT + NAME_SLOT + UNIT_SLOT, "   ")
-    with_units = F.regexp_replace(text, rf"({NUMBER})\s?(?i:({UNITS}))(?![\p{{L}}\p{{N}}])", f" {NUMBER_SLOT}$1 {UNIT_SLOT}$2 ")
-    numbers = F.regexp_replace(with_units, rf"(?<![\p{{N}}.,:{NUMBER_SLOT}])({NUMBER})", f" {NUMBER_SLOT}$1 ")
-    slotted = F.when(text.rlike("[0-9]"), numbers).otherwise(text)
+    marks = f"[{NUMBER_SLOT}-{POINT}]"
+    text = F.coalesce(text, F.lit(""))
+    text = F.when(text.rlike(marks), F.regexp_replace(text, marks, " ")).otherwise(text)
+    units = F.regexp_replace(text, rf"({NUMBER})\s?(?i:({UNITS}))(?![\p{{L}}\p{{N}}])", f" {NUMBER_SLOT}$1 {UNIT_SLOT}$2 ")
+    numbers = F.regexp_replace(units, rf"(?<![\p{{N}}.,:{NUMBER_SLOT}])({NUMBER})", f" {NUMBER_SLOT}$1 ")
+    joined = F.regexp_replace(numbers, r"(?<=\p{N})[.,:](?=\p{N})", POINT)
+    slotted = F.when(text.rlike("[0-9]"), joined).otherwise(text)
     named = F.regexp_replace(slotted, r"(?<=[\p{Ll},;:] )(?=\p{Lu}\p{Ll})", NAME_SLOT)
-    bare = F.regexp_replace(named, rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER_SLOT}-{UNIT_SLOT}.,:%€$£]+|[.,:]+(?!\p{{N}})|(?<!\p{{N}})[.,:]+", " ")
-    return F.lower(F.trim(F.regexp_replace(bare, "  +", " ")))
+    return F.lower(F.trim(F.regexp_replace(named, BETWEEN, " ")))
 
 
 def tokens(marked: Column) -> Column:
@@ -66,8 +73,9 @@ def _templates(df: DataFrame, *keep: Column) -> DataFrame:
     return marked.withColumn("template", tokens(F.col("marked")))
 
 
-def _slice_at(array: str, width: int) -> Column:
-    return F.slice(F.col(array), F.col("position") + 1, F.lit(width))
+def _slice_at(array: str | Column, position: str, width: int | str) -> Column:
+    width = F.col(width) if isinstance(width, str) else F.lit(width)
+    return F.slice(array, F.col(position) + 1, width)
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
@@ -83,8 +91,8 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
             items.where(fit)
             .select("*", F.posexplode(window_hashes(F.col("template"), width)).alias("position", "hash"))
             .select(
-                "hash", "item_id", F.col("position").alias("item_position"), _slice_at("template", width).alias("item_window"),
-                F.slice(F.split("marked", " "), F.col("position") + 1, F.lit(width)).alias("item_values"),
+                "hash", "item_id", F.col("position").alias("item_position"), _slice_at("template", "position", width).alias("item_window"),
+                _slice_at(F.split("marked", " "), "position", width).alias("item_values"),
                 "item_tokens", F.lit(width).alias("width"),
             )
         )
@@ -95,25 +103,43 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     return every.where(lexical >= LEXICAL)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Windows of documents that equal a benchmark window, with the values in their slots."""
+def text_key(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def bounded(rows: DataFrame, most: int) -> DataFrame:
+    """A written table, marked for broadcast if it is small enough; otherwise joins shuffle it."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
+def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """``text_key, position, width, hash`` of the windows of distinct texts that the benchmark has."""
     spark = docs.sparkSession
-    windows = staged(benchmark_windows(benchmark), stage_path(spark, "windows"))
-    widths = {r["width"]: r["n"] for r in windows.groupBy("width").agg(F.count("*").alias("n")).collect()}
-    if sum(widths.values()) <= BROADCAST_WINDOWS:
-        windows = F.broadcast(windows)
-    templates = _templates(docs, F.col("doc_id"), F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
+    widths = [r["width"] for r in windows.select("width").distinct().collect()]  # at most 4 rows
+    known = bounded(staged(windows.select("hash", "width").distinct(), stage_path(spark, "hashes")), BROADCAST_WINDOWS)
+    templates = _templates(docs, text_key(F.col("text")).alias("text_key"))
     found = None
     for width in sorted(widths) or [WINDOW]:
-        exploded = templates.select("*", F.posexplode(window_hashes(F.col("template"), width)).alias("position", "doc_hash"))
-        joined = exploded.join(windows, (F.col("doc_hash") == F.col("hash")) & (F.col("width") == width))
-        hit = joined.where(_slice_at("template", width) == F.col("item_window")).select(
-            "doc_id", "text_key", "item_id", "item_tokens", "item_position", "width",
-            (F.col("position") - F.col("item_position")).alias("shift"), "item_values",
-            F.slice(F.split("marked", " "), F.col("position") + 1, F.lit(width)).alias("doc_values"),
-        )
+        exploded = templates.select("text_key", F.posexplode(window_hashes(F.col("template"), width)).alias("position", "hash"))
+        hit = exploded.join(known.where(F.col("width") == width), "hash")
         found = hit if found is None else found.union(hit)
-    return found
+    return staged(found.distinct(), stage_path(spark, "hits"))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Windows of distinct texts that equal a benchmark window, with the values in their slots."""
+    spark = docs.sparkSession
+    windows = staged(benchmark_windows(benchmark), stage_path(spark, "windows"))
+    found = hits(docs, windows)
+    keys = staged(found.select("text_key").distinct(), stage_path(spark, "keys"))
+    texts = docs.select(text_key(F.col("text")).alias("text_key"), "text").join(bounded(keys, BROADCAST_TEXTS), "text_key", "left_semi")
+    texts = _templates(texts.groupBy("text_key").agg(F.first("text").alias("text")), F.col("text_key"))
+    located = found.join(windows, ["hash", "width"]).join(texts, "text_key")
+    return located.where(_slice_at("template", "position", "width") == F.col("item_window")).select(
+        "text_key", "item_id", "item_tokens", "item_position", "width",
+        (F.col("position") - F.col("item_position")).alias("shift"), "item_values",
+        _slice_at(F.split("marked", " "), "position", "width").alias("doc_values"),
+    )
 
 
 def covered_tokens(positions: Column, width: Column) -> Column:
@@ -127,12 +153,12 @@ def covered_tokens(positions: Column, width: Column) -> Column:
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, text_key, item_id, covered, item_tokens, share, changed_slots`` of each document that
+    """``text_key, item_id, covered, item_tokens, share, changed_slots`` of each distinct text that
     holds a benchmark item: half of its tokens or 40 of them, in windows with consistent slots."""
     slots = F.filter(
         F.arrays_zip(F.col("item_values").alias("item"), F.col("doc_values").alias("doc")), lambda p: p["item"].rlike(SLOTS)
     )
-    key = ["doc_id", "text_key", "item_id", "item_tokens", "width"]
+    key = ["text_key", "item_id", "item_tokens", "width"]
     occurrences = matches(docs, benchmark).groupBy(*key, "shift").agg(
         F.collect_set("item_position").alias("positions"), F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots")
     )
@@ -144,28 +170,26 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     measured = merged.withColumn("covered", covered_tokens(F.col("positions"), F.col("width")))
     share = F.col("covered") / F.col("item_tokens")
-    return measured.where((share >= SHARE) | (F.col("covered") >= LONG_RUN)).select(
-        "doc_id", "text_key", "item_id", "covered", "item_tokens", share.alias("share"), "changed_slots"
+    held = measured.where((share >= SHARE) | (F.col("covered") >= LONG_RUN)).select(
+        "text_key", "item_id", "covered", "item_tokens", share.alias("share"), "changed_slots"
     )
+    return staged(held, stage_path(docs.sparkSession, "held"))
 
 
 def contaminated_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document id and benchmark item; the best of several texts under one id."""
-    best = Window.partitionBy("doc_id", "item_id").orderBy(F.desc("covered"), "changed_slots", "text_key")
-    ranked = contaminations(docs, benchmark).withColumn("rank", F.row_number().over(best))
-    return ranked.where("rank = 1").select(
-        "doc_id", "item_id", *[F.col(c).cast("long").alias(c) for c in ("covered", "item_tokens")], "share",
-        F.col("changed_slots").cast("long").alias("changed_slots"),
+    held = bounded(contaminations(docs, benchmark), BROADCAST_TEXTS)
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key")).join(held, "text_key")
+    best = F.struct("covered", (-F.col("changed_slots")).alias("order"), "text_key", "item_tokens", "share", "changed_slots")
+    return keyed.groupBy("doc_id", "item_id").agg(F.max(best).alias("best")).select(
+        "doc_id", "item_id", *[F.col(f"best.{c}").cast("long").alias(c) for c in ("covered", "item_tokens")], "best.share",
+        F.col("best.changed_slots").cast("long").alias("changed_slots"),
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose text holds no benchmark item, in their own columns."""
-    spark = docs.sparkSession
-    leaked = contaminations(docs, benchmark).select(F.col("text_key").alias("leaked_key")).distinct()
-    leaked = staged(leaked, stage_path(spark, "leaked"))
-    if leaked.count() <= BROADCAST_TEXTS:
-        leaked = F.broadcast(leaked)
+    leaked = contaminations(docs, benchmark).select(F.col("text_key").alias("leaked_key"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    keyed = docs.select(row, F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
-    return keyed.join(leaked, F.col("text_key") == F.col("leaked_key"), "left_anti").select("row.*")
+    keyed = docs.select(row, text_key(F.col("text")).alias("text_key"))
+    return keyed.join(bounded(leaked, BROADCAST_TEXTS), F.col("text_key") == F.col("leaked_key"), "left_anti").select("row.*")
