@@ -36,7 +36,7 @@ def source_targets(sizes: DataFrame, epochs: int, weight=default_weight) -> Data
 
     Sources are taken by the level at which they run dry, epochs x size / weight. With the first k of
     them dry the others share what is left; the first k whose level no further source falls below is
-    the fair one. The table has one row per source.
+    the fair one, and the highest of those. The table has one row per source.
     """
     order = Window.orderBy(F.col("source_key") == "", "source_key")
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -50,7 +50,7 @@ def source_targets(sizes: DataFrame, epochs: int, weight=default_weight) -> Data
     left = total - F.coalesce(F.sum("cap").over(before), F.lit(0))
     shared = ranked.withColumn("try", left.cast("double") / F.sum("weight").over(from_here).cast("double"))
     fits = F.when(F.col("try") <= F.col("dry_at"), F.col("try"))
-    level = F.coalesce(F.min(fits).over(everything), F.lit(0.0))
+    level = F.coalesce(F.max(fits).over(everything), F.lit(0.0))
     return shared.withColumn("level", level).select(
         "source_key", "source_size", "rank", "weight", "level",
         F.least(F.col("cap").cast("double"), F.col("weight") * F.col("level")).alias("target"),

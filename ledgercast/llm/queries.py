@@ -129,7 +129,7 @@ weighted AS (
 tried AS (
   SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY dry_at, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
     / CAST(sum(weight) OVER (ORDER BY dry_at, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS try FROM weighted),
-level AS (SELECT coalesce(min(try), 0.0) AS level FROM tried WHERE try <= dry_at),
+level AS (SELECT coalesce(max(try), 0.0) AS level FROM tried WHERE try <= dry_at),
 plan AS (SELECT *, least(CAST(cap AS DOUBLE), weight * level) AS target FROM tried, level),
 placed AS (
   SELECT d.doc_id, d.key, d.size, p.source_size, p.rank, p.weight, p.target,
