@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -30,40 +31,42 @@ class WordTokenizer:
         self.forget()
 
     def forget(self) -> None:
-        self.pieces: dict[str, list[int]] = {}
         self.index: dict[str, int] = {}
         self.flat = np.empty(1 << 16, dtype=np.uint32)
         self.starts = np.empty(1 << 14, dtype=np.int64)
         self.counts = np.empty(1 << 14, dtype=np.int64)
         self.used = 0
 
-    def _learn_pieces(self, pieces: list[str]) -> None:
-        """Encode pieces, many in one text: the library says which piece each id belongs to."""
+    def _store(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        at, used = len(self.index), self.used
+        while used + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        while at + len(words) > len(self.starts):
+            self.starts, self.counts = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.counts, 2 * len(self.counts))
+        self.flat[used : used + len(ids)] = ids
+        self.counts[at : at + len(words)] = counts
+        self.starts[at : at + len(words)] = used + np.cumsum(counts) - counts
+        self.used += len(ids)
+        self.index.update(zip(words, range(at, at + len(words))))
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode unknown words: first their unknown pieces, many in one text (the library says which
+        piece each id belongs to), then words of several pieces from those."""
+        cut = list(map(PIECE.findall, words))
+        pieces = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.index]
         for start in range(0, len(pieces), TOGETHER):
             some = pieces[start : start + TOGETHER]
             encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ends = np.cumsum(np.bincount(encoded.word_ids, minlength=len(some))).tolist()
-            if len(ends) != len(some):
+            counts = np.bincount(encoded.word_ids, minlength=len(some))
+            if len(counts) != len(some):
                 raise ValueError("the vocabulary file cuts words in another way")
-            ids, before = encoded.ids, 0
-            for piece, end in zip(some, ends):
-                self.pieces[piece] = ids[before:end]
-                before = end
-
-    def _learn(self, words: list[str]) -> None:
-        cut = list(map(PIECE.findall, words))
-        self._learn_pieces(list({p for pieces in cut for p in pieces if p not in self.pieces}))
-        for word, pieces in zip(words, cut):
-            ids = [i for p in pieces for i in self.pieces[p]]
-            at = len(self.index)
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat) + len(ids))
-            if at == len(self.starts):
-                self.starts, self.counts = np.resize(self.starts, 2 * at), np.resize(self.counts, 2 * at)
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.starts[at], self.counts[at] = self.used, len(ids)
-            self.used += len(ids)
-            self.index[word] = at
+            self._store(some, np.array(encoded.ids, dtype=np.uint32), counts)
+        several = [(word, own) for word, own in zip(words, cut) if len(own) > 1]
+        if several:
+            numbers = np.array([self.index[p] for _, own in several for p in own], dtype=np.int64)
+            firsts = np.cumsum([0] + [len(own) for _, own in several[:-1]])
+            counts = np.add.reduceat(self.counts[numbers], firsts)
+            self._store([word for word, _ in several], self.ids(numbers), counts)
 
     def plain(self, text: str) -> bool:
         return NOT_PLAIN.search(text) is None and "<|" not in text
