@@ -137,15 +137,23 @@ class CalibrationBin:
 
 
 def load_calibration(table: DataFrame, products: list[str], bins: int = BINS) -> dict[str, list[CalibrationBin]]:
-    """The fitted table as parameters; it has ``bins`` rows per product."""
+    """The fitted table as parameters: ``bins`` rows per product, none for one without calibration rows."""
     out: dict[str, list[CalibrationBin]] = {p: [] for p in products}
-    for row in table.orderBy("product", "bin").limit(bins * len(products) + 1).collect():
+    for row in table.where(F.col("product").isin(list(out))).orderBy("product", "bin").collect():
         out[row["product"]].append(CalibrationBin(row["lo"], row["hi"], row["coef"]))
+    wrong = {p: len(rows) for p, rows in out.items() if len(rows) not in (0, bins)}
+    if wrong:
+        raise ValueError(f"calibration needs {bins} rows per product, not {wrong}")
     return out
 
 
 def calibrated(score: Column, table: list[CalibrationBin]) -> Column:
-    """Score times the coefficient of its bin ``[lo, hi)``, the last one closed; 0 outside."""
+    """Score times the coefficient of its bin ``[lo, hi)``, the last one closed; 0 outside.
+
+    Without bins the coefficient is 1.
+    """
+    if not table:
+        return score.cast("double")
     expr = F.lit(0.0)
     for position, b in reversed(list(enumerate(table))):
         last = position == len(table) - 1

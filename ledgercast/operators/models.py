@@ -239,9 +239,15 @@ def _vectors(df: DataFrame, features: list[str], spec: ModelSpec) -> DataFrame:
 # -- fit -----------------------------------------------------------------------------------------
 
 
+def some_rows(train: DataFrame, share: float, seed: int) -> DataFrame:
+    """The sample to fit on; all rows where the sample of a small segment is empty or has one client."""
+    sample = sample_rows(train, share, seed)
+    return sample if len(sample.select("epk_id").take(2)) == 2 else train
+
+
 def rf_importance(train: DataFrame, features: list[str], spec: ModelSpec, s: SearchSettings) -> DataFrame:
     """Importance of every feature in a shallow forest on a sample."""
-    rows = _vectors(sample_rows(train, s.sample, s.selection_seed), features, spec)
+    rows = _vectors(some_rows(train, s.sample, s.selection_seed), features, spec)
     fitted = forest(spec, s, s.forest_depth, s.forest_features, s.forest_rows).fit(rows)
     return feature_importance_table(train.sparkSession, features, fitted.featureImportances.toArray())
 
@@ -255,6 +261,10 @@ def gbt_search(rows: DataFrame, spec: ModelSpec, s: SearchSettings):
     if len(maps) > 1:
         fits = in_sample(s.train_share, s.seed)
         train, test = rows.where(fits), rows.where(~fits)
+        labels = F.count_distinct(LABEL)
+        if train.agg(labels).first()[0] < 2 or test.agg(labels).first()[0] < 2:
+            maps = maps[:1]
+    if len(maps) > 1:
         scores = {i: evaluator.evaluate(m.transform(test)) for i, m in estimator.fitMultiple(train, maps)}
         pick = max if evaluator.isLargerBetter() else min
         best = maps[pick(scores, key=scores.get)]
@@ -281,7 +291,7 @@ def model_metrics(predicted: DataFrame, spec: ModelSpec, scope: str) -> DataFram
 
 def _local_copy(metrics: DataFrame) -> DataFrame:
     """A few metric rows, computed once."""
-    rows = [tuple(r) for r in metrics.limit(16).collect()]
+    rows = [tuple(r) for r in metrics.collect()]
     return local_table(metrics.sparkSession, rows, metrics.schema)
 
 
@@ -303,25 +313,24 @@ def fit_model(dataset: DataFrame, features: list[str], spec: ModelSpec, s: Searc
     rows = segment(dataset, spec.segment, None if spec.product == TOTAL else spec.product)
     train, valid = validation_rows(rows, False), validation_rows(rows, True)
     label = F.col(f"`{spec.target}`").cast("double")
-    low, high = train.agg(F.min(label), F.max(label)).first()
-    sample = sample_rows(train, s.sample, s.search_seed)
-    if low is None or low == high or sample.isEmpty():
+    low, high, mean = train.agg(F.min(label), F.max(label), F.avg(label)).first()
+    if low is None or low == high:
         empty = "scope string, product string, part string, metric string, value double"
         return FittedModel(
-            spec, constant_model(spec, low or 0.0), [], local_table(spark, [], empty),
+            spec, constant_model(spec, mean or 0.0), [], local_table(spark, [], empty),
             feature_importance_table(spark, [], []),
         )
 
     wide = rf_importance(train, features, spec, s)
     chosen = [r["feature"] for r in top_features(wide, s.keep_features).collect()]
 
+    sample = some_rows(train, s.sample, s.search_seed)
     with kept(_vectors(sample, chosen, spec)) as searched:
         if spec.family == "gb":
             first, params = gbt_search(searched, spec, s)
         else:
             first, params = forest(spec, s, s.forest_depth, "0.8", s.forest_rows).fit(searched), {}
-    valid_sample = sample_rows(valid, s.sample, s.search_seed)
-    before = model_metrics(first.transform(_vectors(valid_sample, chosen, spec)), spec, "all_features")
+    before = model_metrics(first.transform(_vectors(valid, chosen, spec)), spec, "all_features")
 
     importances = feature_importance_table(spark, chosen, first.featureImportances.toArray())
     short = [r["feature"] for r in importance_cutoff(importances, s.cutoff_features).orderBy(F.desc("importance"), "feature").collect()]

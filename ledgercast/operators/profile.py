@@ -159,8 +159,12 @@ def dual_imputation(column: str, mean: float) -> list[Column]:
 
 
 def category_fill(df: DataFrame, column: str) -> Column:
-    if isinstance(df.schema[column].dataType, T.StringType):
-        return F.coalesce(F.col(f"`{column}`"), F.lit(OTHER_VALUE)).alias(column)
+    """Missing values as a placeholder: a text for texts and dates, a number for numbers and flags."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.StringType, T.DateType, T.TimestampType)):
+        return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(OTHER_VALUE)).alias(column)
+    if isinstance(kind, T.BooleanType):
+        return F.coalesce(F.col(f"`{column}`").cast("int"), F.lit(OTHER_NUMBER)).alias(column)
     return F.coalesce(F.col(f"`{column}`"), F.lit(OTHER_NUMBER)).alias(column)
 
 

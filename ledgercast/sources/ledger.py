@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgercast.functions.money import as_money
 
@@ -16,9 +16,16 @@ def open_table(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     return spark.read.parquet(source) if "/" in source else spark.table(source)
 
 
+def with_dates(df: DataFrame, column: str = "report_dt") -> DataFrame:
+    """Months as DATE; sources may keep them as text or with a time."""
+    if isinstance(df.schema[column].dataType, T.DateType):
+        return df
+    return df.withColumn(column, F.col(column).cast("date"))
+
+
 def scan_ledger(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     ledger = open_table(spark, source).withColumnsRenamed({"client_id": "epk_id", "report_date": "report_dt"})
-    return as_money(ledger.select(*COLUMNS), "pl_val")
+    return as_money(with_dates(ledger.select(*COLUMNS)), "pl_val")
 
 
 def scan_client_sample(spark: SparkSession, source: str | DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgercast.sources.ledger import open_table
+from ledgercast.sources.ledger import open_table, with_dates
 
 KEYS = ["epk_id", "report_dt"]
 
@@ -56,5 +56,5 @@ def scan_profile(
     wanted: list[str] | None = None,
     groups: SuffixGroups = SuffixGroups(),
 ) -> DataFrame:
-    profile = open_table(spark, source)
+    profile = with_dates(open_table(spark, source))
     return select_by_suffix(profile, groups) if wanted is None else select_feature_sample(profile, wanted, groups)
