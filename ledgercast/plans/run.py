@@ -19,12 +19,15 @@ from ledgercast.operators.models import SearchSettings
 from ledgercast.plans.cohort_plan import CohortPlan, CohortSettings, ScoringSettings
 from ledgercast.plans.jobs import Trained, score_clients, test_report, train, write_scores
 from ledgercast.session import build_session
-from ledgercast.sources.ledger import open_table, scan_client_sample, scan_ledger
+from ledgercast.sources.ledger import open_table, scan_client_sample, scan_ledger, with_dates
 from ledgercast.sources.profile import SuffixGroups
 from ledgercast.sources.stages import stage_write
 
-# The section with the scoring borders, and the start of a path that means "none".
+# The section with the scoring borders, those of the jobs that read the client sample,
+# and the start of a path that means "none".
 SCORING_SECTION = "ScoringEpkDateConfigGenerating"
+TRAINING_READERS = ("PnlTableFiltering", "MegaTableFiltering")
+SCORING_READERS = ("ScoringPnlTableFiltering", "ScoringMegaTableFiltering")
 NO_PATH = "no_path"
 
 
@@ -39,6 +42,7 @@ class RunSettings:
     project: str
     scores: str
     sample: str | None
+    scoring_sample: str | None
     features: list[str] | None
 
     @classmethod
@@ -48,10 +52,18 @@ class RunSettings:
         shared = parser.defaults()
         scoring = parser[SCORING_SECTION] if parser.has_section(SCORING_SECTION) else shared
 
-        def optional(key: str) -> str | None:
-            value = shared.get(key, NO_PATH)
+        def optional(key: str, section: str | None = None) -> str | None:
+            """A path, looked up in the job's own section first."""
+            own = parser[section] if section and parser.has_section(section) else shared
+            value = own.get(key, NO_PATH)
             return None if value.startswith(NO_PATH) else value
 
+        def sample(readers: tuple[str, ...]) -> str | None:
+            found = {optional("sample_clients_hdfs_path", section) for section in readers}
+            if len(found) > 1:
+                raise ValueError(f"{' and '.join(readers)} name different client samples")
+            return found.pop()
+
         features = optional("sample_features_from_mega_path")
         return cls(
             training=CohortPlan.training(
@@ -85,18 +97,19 @@ class RunSettings:
             profile=shared["mega_table"],
             project=shared["hdfs_project_path"].rstrip("/"),
             scores=shared["scores_directory_name"],
-            sample=optional("sample_clients_hdfs_path"),
+            sample=sample(TRAINING_READERS),
+            scoring_sample=sample(SCORING_READERS),
             features=json.loads(Path(features).read_text(encoding="utf-8")) if features else None,
         )
 
-    def tables(self, spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-        sample = scan_client_sample(spark, self.sample) if self.sample else None
-        return open_table(spark, self.profile), scan_ledger(spark, self.ledger), sample
+    def tables(self, spark: SparkSession, sample: str | None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+        clients = scan_client_sample(spark, sample) if sample else None
+        return with_dates(open_table(spark, self.profile)), scan_ledger(spark, self.ledger), clients
 
 
 def run_training(spark: SparkSession, settings: RunSettings, search: SearchSettings = SearchSettings()) -> DataFrame:
     """Fit, save and report; returns the report as written."""
-    profile, ledger, sample = settings.tables(spark)
+    profile, ledger, sample = settings.tables(spark, settings.sample)
     trained, _, test = train(
         profile, ledger, settings.training, settings.dims, search, settings.groups, sample, settings.features
     )
@@ -107,7 +120,7 @@ def run_training(spark: SparkSession, settings: RunSettings, search: SearchSetti
 
 def run_scoring(spark: SparkSession, settings: RunSettings) -> DataFrame:
     """Score with the saved models; returns the scores as written."""
-    profile, ledger, sample = settings.tables(spark)
+    profile, ledger, sample = settings.tables(spark, settings.scoring_sample)
     trained = Trained.load(spark, settings.project, settings.dims)
     scores = score_clients(profile, ledger, settings.scoring, settings.dims, trained, settings.groups, sample, settings.features)
     return spark.read.parquet(write_scores(scores, settings.project, settings.scores))

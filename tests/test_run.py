@@ -62,3 +62,15 @@ def test_train_then_score_from_a_settings_file(spark, sf, tmp_path):
     assert "total_pl_predict" in scores.columns and "Card_sales_pl_predict_probability_calibrated" in scores.columns
     importances = spark.read.parquet(f"{paths['project']}/feature_importances")
     assert importances.select("model").distinct().count() == 7
+
+
+def test_a_job_section_overrides_the_shared_sample(tmp_path):
+    (tmp_path / "products.json").write_text(json.dumps({"Card": ["t", [1]]}))
+    (tmp_path / "items.json").write_text(json.dumps({"Fee": [1]}))
+    (tmp_path / "groups.json").write_text(json.dumps({"categorical": ["cd"], "numeric": ["amt"], "date": ["dt"]}))
+    (tmp_path / "features.json").write_text("[]")
+    off = "".join(f"\n[{s}]\nsample_clients_hdfs_path = no_path\n" for s in run.TRAINING_READERS)
+    text = CFG.replace("sample_clients_hdfs_path = no_path", "sample_clients_hdfs_path = /clients") + off
+    (tmp_path / "run.cfg").write_text(text.format(folder=tmp_path, project="p", ledger="l", profile="m"))
+    settings = run.RunSettings.read(str(tmp_path / "run.cfg"))
+    assert settings.sample is None and settings.scoring_sample == "/clients"
