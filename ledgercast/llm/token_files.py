@@ -2,7 +2,7 @@
 
 Code lengths come from the counts of all ids (a table no longer than the vocabulary), limited to 16
 bits by the package-merge method; canonical codes follow from the lengths alone. A block holds whole
-documents, at least one and otherwise up to 65,536 ids, and can be decoded by itself: its row has
+documents, at least one and otherwise up to 262,144 ids, and can be decoded by itself: its row has
 the documents' ids and lengths, the bits, and the bit offset of every 512th id, so all stretches
 between checkpoints are decoded side by side with one table look-up per id.
 
@@ -26,7 +26,7 @@ from ledgercast.sources.stages import staged, stage_read, stage_write
 
 END = 2
 LONGEST = 16
-BLOCK_IDS = 65_536
+BLOCK_IDS = 262_144
 CHECKPOINT = 512
 
 

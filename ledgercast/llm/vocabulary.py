@@ -13,8 +13,10 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-MOST_WORDS = 600_000
+MOST_WORDS = 1_000_000
 TOGETHER = 2000
 # The pattern of the vocabulary file that cuts lower-cased plain words into pieces.
 PIECE = re.compile(r"'(?:[stmd]|re|ve|ll)|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+")
@@ -22,7 +24,7 @@ NOT_PLAIN = re.compile(r"[^\x20-\x7e\t\n\r\xc0-\xff]")
 
 
 class WordTokenizer:
-    """Ids by word, with a cache of bounded size."""
+    """Ids by word, with a cache of bounded size. Number 0 is the empty word without ids."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -31,18 +33,31 @@ class WordTokenizer:
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[str, int] = {"": 0}
         self.flat = np.empty(1 << 16, dtype=np.uint32)
         self.starts = np.empty(1 << 14, dtype=np.int64)
         self.counts = np.empty(1 << 14, dtype=np.int64)
+        self.met = np.zeros(1 << 14, dtype=np.int32)
+        self.starts[0] = self.counts[0] = 0
         self.used = 0
 
+    def _shrink(self) -> None:
+        """Keep the words met in more than one group of texts, or none if they are too many still."""
+        kept = [(word, n) for word, n in self.index.items() if n and self.met[n] > 1]
+        numbers = np.array([n for _, n in kept], dtype=np.int64)
+        ids, counts, met = self.ids(numbers), self.counts[numbers], self.met[numbers]
+        self.forget()
+        if len(kept) <= MOST_WORDS // 2:
+            self._store([word for word, _ in kept], ids, counts)
+            self.met[1 : len(kept) + 1] = met // 2
+
     def _store(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         at, used = len(self.index), self.used
         while used + len(ids) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
         while at + len(words) > len(self.starts):
             self.starts, self.counts = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.counts, 2 * len(self.counts))
+            self.met = np.append(self.met, np.zeros(len(self.met), dtype=np.int32))
         self.flat[used : used + len(ids)] = ids
         self.counts[at : at + len(words)] = counts
         self.starts[at : at + len(words)] = used + np.cumsum(counts) - counts
@@ -52,8 +67,9 @@ class WordTokenizer:
     def _learn(self, words: list[str]) -> None:
         """Encode unknown words: first their unknown pieces, many in one text (the library says which
         piece each id belongs to), then words of several pieces from those."""
-        cut = list(map(PIECE.findall, words))
-        pieces = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.index]
+        cut = [(word, PIECE.findall(word)) for word in words if not word.isalpha()]
+        parts = chain(filter(str.isalpha, words), chain.from_iterable(own for _, own in cut))
+        pieces = [p for p in dict.fromkeys(parts) if p not in self.index]
         for start in range(0, len(pieces), TOGETHER):
             some = pieces[start : start + TOGETHER]
             encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
@@ -61,7 +77,7 @@ class WordTokenizer:
             if len(counts) != len(some):
                 raise ValueError("the vocabulary file cuts words in another way")
             self._store(some, np.array(encoded.ids, dtype=np.uint32), counts)
-        several = [(word, own) for word, own in zip(words, cut) if len(own) > 1]
+        several = [(word, own) for word, own in cut if len(own) > 1]
         if several:
             numbers = np.array([self.index[p] for _, own in several for p in own], dtype=np.int64)
             firsts = np.cumsum([0] + [len(own) for _, own in several[:-1]])
@@ -77,18 +93,22 @@ class WordTokenizer:
     def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Of plain texts: the cache numbers of all words, and how many words each text has."""
         if len(self.index) > MOST_WORDS:
-            self.forget()
-        words: list[str] = []
-        sizes = np.empty(len(texts), dtype=np.int64)
-        for i, text in enumerate(texts):
-            found = text.lower().split()
-            sizes[i] = len(found)
-            words += found
-        numbers = list(map(self.index.get, words))
-        if None in numbers:
-            self._learn(list({w for w, n in zip(words, numbers) if n is None}))
-            numbers = list(map(self.index.get, words))
-        return np.array(numbers, dtype=np.int64), sizes
+            self._shrink()
+        lists = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(texts, pa.large_string())))
+        sizes = lists.value_lengths().to_numpy().astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        unknown = [w for w in words if w not in self.index]
+        if unknown:
+            self._learn(unknown)
+        distinct = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
+        self.met[distinct] += 1
+        numbers = distinct[coded.indices.to_numpy()]
+        empty = np.flatnonzero(numbers == 0)  # white space at either end of a text
+        if len(empty):
+            sizes -= np.bincount(np.repeat(np.arange(len(sizes)), sizes)[empty], minlength=len(sizes))
+            numbers = np.delete(numbers, empty)
+        return numbers, sizes
 
     def ids(self, numbers: np.ndarray) -> np.ndarray:
         """Ids of words in a row."""

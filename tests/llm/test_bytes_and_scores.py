@@ -214,3 +214,17 @@ def test_code_lengths_are_limited_and_complete():
     assert (code.decode(bits, offsets, len(ids)) == ids).all()
     only = token_files.Code(token_files.code_lengths({5: 9}))
     assert only.decode(*only.encode(np.array([5, 5])), 2).tolist() == [5, 5]
+
+
+def test_word_cache_shrinks_without_a_change_of_ids(monkeypatch):
+    from ledgercast.llm import vocabulary
+
+    monkeypatch.setattr(vocabulary, "MOST_WORDS", 40)
+    tokenizer = vocabulary.WordTokenizer(queries.vocabulary_path())
+    common = "the cat sat on don't, mat"
+    texts = [f" {common} \n word{i}x{i * 7} àé{i}, {'z' * i}\t" for i in range(60)] + ["", "  ", "日本 a", "<|endoftext|> b"]
+    for text in texts:
+        ids = vocabulary.encode_many(tokenizer, [text, common])
+        assert ids[0].tolist() == tokenizer.whole(text)
+        assert ids[1].tolist() == tokenizer.whole(common)
+    assert len(tokenizer.index) < 120
