@@ -131,14 +131,7 @@ def product_metrics(combined: DataFrame, products: list[str], parts: list[str] |
     """
     rows = by_product(combined, products).withColumn("naive_year", F.col("`pl_-1`") * 12)
     chosen = {name: PARTS[name] for name in parts or PARTS}
-    cases = F.array(
-        *[
-            F.when(keep(), F.struct(F.lit(name).alias("part"), F.col("pl_target").alias("target"), F.col(f"`{c}`").alias("predict")))
-            for name, (keep, c) in chosen.items()
-        ]
-    )
-    pairs = rows.select("product", F.explode(F.array_compact(cases)).alias("x")).select("product", "x.*")
-    return regression_metrics(pairs, ["product", "part"])
+    return _metrics_of_parts(rows, ["product"], {n: (keep(), "pl_target", F.col(f"`{c}`")) for n, (keep, c) in chosen.items()})
 
 
 def total_metrics(combined: DataFrame) -> DataFrame:
@@ -148,13 +141,27 @@ def total_metrics(combined: DataFrame) -> DataFrame:
         "total_single_model": F.col("AllProducts_total_pl_predict"),
         "total_naive_year": naive_year(),
     }
-    cases = F.array(
-        *[
-            F.struct(F.lit(name).alias("part"), F.col("total_pl_target").alias("target"), c.cast("double").alias("predict"))
-            for name, c in forecasts.items()
+    return _metrics_of_parts(combined, [], {n: (F.lit(True), "total_pl_target", c) for n, c in forecasts.items()})
+
+
+def _metrics_of_parts(df: DataFrame, by: list[str], parts: dict[str, tuple[Column, str, Column]]) -> DataFrame:
+    """``(*by, part, mae, rmse, sum)``: a part has a condition, a target and a forecast.
+
+    All parts are measured side by side in one aggregation, whose few rows are then turned; a part
+    without rows is left out.
+    """
+    aggregates = []
+    for i, (keep, target, predict) in enumerate(parts.values()):
+        t, p = F.when(keep, F.col(target).cast("double")), F.when(keep, predict.cast("double"))
+        aggregates += [
+            F.avg(F.abs(p - t)).alias(f"mae_{i}"),
+            F.sqrt(F.avg((p - t) * (p - t))).alias(f"rmse_{i}"),
+            ratio_of_sums(p, t).alias(f"sum_{i}"),
+            F.count_if(keep).alias(f"n_{i}"),
         ]
-    )
-    return regression_metrics(combined.select(F.explode(cases).alias("x")).select("x.*"), ["part"])
+    cells = ", ".join(f"'{name}', mae_{i}, rmse_{i}, sum_{i}, n_{i}" for i, name in enumerate(parts))
+    turned = df.groupBy(*by).agg(*aggregates).selectExpr(*by, f"stack({len(parts)}, {cells}) AS (part, mae, rmse, sum, n)")
+    return turned.where("n > 0").drop("n")
 
 
 def as_long(metrics: DataFrame, scope: str, names: list[str]) -> DataFrame:

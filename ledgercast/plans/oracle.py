@@ -345,6 +345,9 @@ CALIBRATED = fitted("poor") | {
           ON s.product = c.product AND s.prob >= c.lo AND (s.prob < c.hi OR (c.bin = 9 AND s.prob <= c.hi))""",
     "totals": """
         SELECT epk_id, report_dt, sum(product_total) AS total_pl_predict FROM combined GROUP BY ALL""",
+    "combined_test": f"""
+        SELECT p.* FROM combined p JOIN cells c ON c.split = 'test' AND p.report_dt = c.report_dt
+          AND {bucket('p.epk_id', fx.PLAN.buckets)} BETWEEN c.bin_lo AND c.bin_hi""",
 }
 
 
@@ -377,13 +380,14 @@ PARTS = {
 
 def parts(*names: str) -> str:
     return " UNION ALL ".join(
-        f"SELECT product, '{n}' AS part, {regression(PARTS[n][1])} FROM combined WHERE {PARTS[n][0]} GROUP BY product" for n in names
+        f"SELECT product, '{n}' AS part, {regression(PARTS[n][1])} FROM combined_test WHERE {PARTS[n][0]} GROUP BY product" for n in names
     )
 
 
 TOTALS = {"total_mix_model": "total_pl_predict", "total_single_model": '(12 * "total_pl_-1")', "total_naive_year": '("total_pl_-1" * 12)'}
 TOTAL_PARTS = " UNION ALL ".join(
     f"SELECT '{n}' AS part, {regression(c, 'total_pl_target')} FROM totals JOIN outcomes USING (epk_id, report_dt)"
+    " SEMI JOIN combined_test USING (epk_id, report_dt)"
     for n, c in TOTALS.items()
 )
 
@@ -652,7 +656,7 @@ ORACLE: dict[str, str] = {
             ]
         ),
         **CALIBRATED,
-        **curve("poor"),
+        **curve("poor_test"),
     ),
     "assemble_features": sql(
         f"""SELECT epk_id, report_dt, {len(P)}::BIGINT AS features, "{P[0]}_pl_-1" AS first, "{P[-1]}_pl_-1" AS last FROM outcomes"""
