@@ -28,6 +28,7 @@ from ledgercast.sources.stages import staged
 SEED = 42
 BLOCKS = 9
 CELL_ROWS = 65_536
+CLOSE = 2
 
 
 # -- fingerprints --------------------------------------------------------------------------------
@@ -152,22 +153,60 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
         yield tuple(np.concatenate(c) for c in zip(*held))
 
 
-def _links_in_cells(bits: int):
+def cell_tree(points: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs that join the members of a cell over their shortest distances of ``bits`` or fewer.
+
+    Members within ``CLOSE`` bits of a leader hang on it, so a dense cell has few leaders. The leaders
+    form a shortest spanning tree: whatever limit a later check sets, leaders that some chain of
+    shorter steps joins stay joined by the tree.
+    """
+    a, b, leaders = [], [], []
+    free = np.arange(len(points))
+    while len(free):
+        first, free = free[0], free[1:]
+        near = distances(points[first], points[free]) <= CLOSE
+        leaders.append(first)
+        a.append(np.full(int(near.sum()), first))
+        b.append(free[near])
+        free = free[~near]
+    out = np.array(leaders[1:], dtype=np.int64)
+    best = np.full(len(out), 255, dtype=np.uint8)
+    via = np.full(len(out), leaders[0], dtype=np.int64)
+    last = leaders[0]
+    while len(out):
+        gap = distances(points[last], points[out])
+        closer = gap < best
+        best, via = np.where(closer, gap, best), np.where(closer, last, via)
+        k = int(best.argmin())
+        last = out[k]
+        if best[k] <= bits:
+            a.append(via[k : k + 1])
+            b.append(out[k : k + 1])
+        best[k], via[k], out[k] = best[-1], via[-1], out[-1]
+        best, via, out = best[:-1], via[:-1], out[:-1]
+    return np.concatenate(a), np.concatenate(b)
+
+
+def star_pairs(points: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of a cell's groups: first member and each other."""
+    group = cell_stars(points, bits)
+    member = np.flatnonzero(group != np.arange(len(points)))
+    return group[member], member
+
+
+def _links_in_cells(bits: int, join):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cells, nodes, points in _pieces(batches):
             points = points.view(np.uint64)
             starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
             sizes = np.diff(np.r_[starts, len(cells)])
-            a, b = [], []
             pairs = starts[sizes == 2]
             near = pairs[np.bitwise_count(points[pairs] ^ points[pairs + 1]) <= bits]
-            a.append(nodes[near])
-            b.append(nodes[near + 1])
+            a, b = [nodes[near]], [nodes[near + 1]]
             for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-                group = cell_stars(points[start : start + size], bits)
-                member = np.flatnonzero(group != np.arange(size))
-                a.append(nodes[start + group[member]])
-                b.append(nodes[start + member])
+                first, second = join(points[start : start + size], bits)
+                a.append(nodes[start + first])
+                b.append(nodes[start + second])
             left, right = np.concatenate(a), np.concatenate(b)
             other = left != right
             edges = pd.DataFrame({"a": left[other], "b": right[other]}).drop_duplicates()
@@ -176,10 +215,10 @@ def _links_in_cells(bits: int):
     return links
 
 
-def cell_links(members: DataFrame, bits: int) -> DataFrame:
-    """Edges ``a, b`` from rows ``cell, node, point``: a star per group of linked members."""
+def cell_links(members: DataFrame, bits: int, join=star_pairs) -> DataFrame:
+    """Edges ``a, b`` from rows ``cell, node, point``: fewer than members in every cell."""
     dealt = members.repartition("cell").sortWithinPartitions("cell", "node")
-    return dealt.mapInArrow(_links_in_cells(bits), "a long, b long")
+    return dealt.mapInArrow(_links_in_cells(bits, join), "a long, b long")
 
 
 def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,17 +260,23 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 2) -> DataFrame
 # A similarity of 0.8 between sets of five-word shingles means an angle of 27 degrees: their SimHashes
 # differ in about 10 of 64 bits, more than anchors can cover. But such texts share nearly all their
 # words, so the SimHashes of their *word sets* are within a bit or two. Candidates therefore meet at
-# the anchors of several word fingerprints, and the shingle fingerprint decides.
+# the anchors of several word fingerprints. In a cell the shingle fingerprints pick the pairs worth a
+# look, fewer than members, and the shared shingles of each such pair decide exactly.
 
 SHINGLE = 5
 WORD_PRINTS = 5
-SHINGLE_BITS = 14
+SHINGLE_BITS = 18
 PRINTS = T.StructType(
     [T.StructField("node", T.LongType()), T.StructField("shingles", T.LongType()), T.StructField("words", T.ArrayType(T.LongType()))]
 )
 MIX = [np.uint64(0x9E3779B97F4A7C15 + 2 * k) for k in range(WORD_PRINTS)]
 
 
+def node(words: list[bytes]) -> int:
+    """Identity of a word sequence."""
+    return xxhash.xxh64_intdigest(b" ".join(words), SEED)
+
+
 def text_prints(text: str | None) -> tuple[int, int, list[int]]:
     """Identity of the word sequence, SimHash of its five-word shingles, SimHashes of its word set."""
     words = byte_words(text)
@@ -241,7 +286,7 @@ def text_prints(text: str | None) -> tuple[int, int, list[int]]:
     for multiplier in MIX:
         mixed = (hashes ^ (hashes >> np.uint64(31))) * multiplier
         prints.append(fold(mixed ^ (mixed >> np.uint64(29))))
-    return digest(b" ".join(words), SEED), fold(shingle_hashes(words, SHINGLE)), prints
+    return node(words), fold(shingle_hashes(words, SHINGLE)), prints
 
 
 def _signed(value: int) -> int:
@@ -275,11 +320,41 @@ def _replicate_word_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
                 yield pa.RecordBatch.from_arrays(columns, ["cell", "node", "point"])
 
 
-def similar_groups(prints: DataFrame) -> DataFrame:
-    """``node, root`` of texts linked by shared anchors and close shingle fingerprints."""
+@F.pandas_udf(T.LongType())
+def node_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield pd.Series(np.array([node(byte_words(t)) for t in batch], dtype=np.uint64).view(np.int64))
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def shingle_set(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield pd.Series([np.unique(shingle_hashes(byte_words(t), SHINGLE)).view(np.int64) for t in batch])
+
+
+def similar_links(links: DataFrame, texts: DataFrame) -> DataFrame:
+    """The ``links`` (a, b) whose texts share four fifths or more of all their five-word shingles.
+
+    ``texts`` has ``node, text``. A node with very many links meets them in a join whose other side
+    is its one row, so adaptive execution may split it.
+    """
+    asked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = texts.join(asked, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    sets = staged(sets.select("node", shingle_set("text").alias("shingles")), stage_path(texts.sparkSession, "shingles"))
+    of_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
+    of_a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+    shared = F.size(F.array_intersect("set_a", "set_b"))
+    either = F.size("set_a") + F.size("set_b") - shared
+    return links.join(of_b, "b").join(of_a, "a").where(5 * shared >= 4 * either).select("a", "b")
+
+
+def similar_groups(prints: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, root`` of texts linked by a similarity of 0.8, among those that share an anchor."""
     distinct = prints.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("words").alias("words"))
     members = distinct.mapInArrow(_replicate_word_prints, "cell long, node long, point long")
-    return components(cell_links(members, SHINGLE_BITS))
+    links = cell_links(members, SHINGLE_BITS, cell_tree).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = staged(links.distinct(), stage_path(prints.sparkSession, "links"))
+    return components(similar_links(links, texts))
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
@@ -293,11 +368,11 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     prints = staged(docs.select("doc_id", all_prints("text").alias("p")).select("doc_id", "p.*"), stage_path(spark, "prints"))
     rank = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col("node").alias("of"))
     firsts = prints.groupBy("node").agg(F.min(rank).alias("best"))
-    roots = similar_groups(prints)
+    roots = similar_groups(prints, docs.select(node_of("text").alias("node"), "text"))
     grouped = firsts.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "best")
     best = grouped.groupBy("root").agg(F.min("best").alias("best")).select(
         "root", F.col("best.of").alias("best_node"), F.col("best.id").alias("best_id")
     )
-    identity = docs.select(row, F.col("doc_id").alias("own_id"), all_prints("text").getField("node").alias("own_node"))
+    identity = docs.select(row, F.col("doc_id").alias("own_id"), node_of("text").alias("own_node"))
     same = (F.col("own_node") == F.col("best_node")) & F.col("own_id").eqNullSafe(F.col("best_id"))
     return identity.join(best, same).groupBy("root").agg(F.first("row").alias("row")).select("row.*")
