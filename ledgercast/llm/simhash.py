@@ -180,8 +180,8 @@ def cell_tree(points: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
         k = int(best.argmin())
         last = out[k]
         if best[k] <= bits:
-            a.append(via[k : k + 1])
-            b.append(out[k : k + 1])
+            a.append(np.array([via[k]]))
+            b.append(np.array([out[k]]))
         best[k], via[k], out[k] = best[-1], via[-1], out[-1]
         best, via, out = best[:-1], via[:-1], out[:-1]
     return np.concatenate(a), np.concatenate(b)
@@ -260,11 +260,13 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 2) -> DataFrame
 # A similarity of 0.8 between sets of five-word shingles means an angle of 27 degrees: their SimHashes
 # differ in about 10 of 64 bits, more than anchors can cover. But such texts share nearly all their
 # words, so the SimHashes of their *word sets* are within a bit or two. Candidates therefore meet at
-# the anchors of several word fingerprints. In a cell the shingle fingerprints pick the pairs worth a
+# the anchors of several word fingerprints, each of 49 bits: one changed word of fifty moves 3 of these,
+# but 4 of 64. In a cell the shingle fingerprints pick the pairs worth a
 # look, fewer than members, and the shared shingles of each such pair decide exactly.
 
 SHINGLE = 5
-WORD_PRINTS = 5
+WORD_PRINTS = 6
+WORD_BITS = np.uint64((1 << 49) - 1)
 SHINGLE_BITS = 18
 PRINTS = T.StructType(
     [T.StructField("node", T.LongType()), T.StructField("shingles", T.LongType()), T.StructField("words", T.ArrayType(T.LongType()))]
@@ -285,7 +287,7 @@ def text_prints(text: str | None) -> tuple[int, int, list[int]]:
     prints = []
     for multiplier in MIX:
         mixed = (hashes ^ (hashes >> np.uint64(31))) * multiplier
-        prints.append(fold(mixed ^ (mixed >> np.uint64(29))))
+        prints.append(fold((mixed ^ (mixed >> np.uint64(29))) & WORD_BITS))
     return node(words), fold(shingle_hashes(words, SHINGLE)), prints
 
 

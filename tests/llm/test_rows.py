@@ -166,6 +166,37 @@ def test_one_of_each_near_duplicate_stays(spark, rows):
     assert sum(1 for r in kept if not (r["text"] or "").split()) == 1 and len(kept) == 62
 
 
+def test_cell_tree_joins_what_chains_of_short_steps_join():
+    rng = np.random.default_rng(4)
+    for size in (1, 2, 3, 40, 150):
+        points = rng.integers(0, 1 << 12, size, dtype=np.uint64)
+        first, second = simhash.cell_tree(points, 6)
+        assert len(first) < size and all(simhash.distances(points[a], points[b : b + 1])[0] <= 6 for a, b in zip(first, second))
+        label = np.arange(size)
+        for a, b in zip(first, second):
+            label[label == label[b]] = label[a]
+        for a in range(size):
+            near = simhash.distances(points[a], points) <= simhash.CLOSE
+            assert len(set(label[near])) == 1
+
+
+def test_similarity_of_kept_texts_is_exact(spark):
+    rng = random.Random(8)
+    base = prose(rng, 104).split()  # 100 shingles; each word changed apart from others takes five
+
+    def changed(*at):
+        return " ".join("other" + w if i in at else w for i, w in enumerate(base))
+
+    docs = [(1, " ".join(base), "a"), (2, changed(50), "a"), (3, changed(10, 30, 50, 70), "a"), (4, prose(rng, 104), "a")]
+    kept = {r["doc_id"] for r in simhash.keep_one_of_each(table(spark, docs)).collect()}
+    assert kept == {1, 3, 4}  # 95 of 105 shingles are shared by 1 and 2, 80 of 120 by 1 and 3
+    apart = simhash.similar_links(
+        spark.createDataFrame([(1, 2), (1, 3), (1, 4), (2, 3)], "a long, b long"),
+        spark.createDataFrame([(i, t) for i, t, _ in docs], "node long, text string"),
+    )
+    assert {tuple(r) for r in apart.collect()} == {(1, 2)}
+
+
 def test_templates_catch_changed_numbers_and_names(spark):
     item = "A train leaves the old station with Alice at 12,5 km and meets Bob after 3 hours on the long northern line"
     other = "the water in every river of that land ran very low through all of the dry summer months of last year"
