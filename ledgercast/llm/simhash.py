@@ -133,14 +133,14 @@ def cell_stars(points: np.ndarray, bits: int) -> np.ndarray:
     return group
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Sorted (cell, node, point) columns, cut only between cells."""
+def _pieces(batches: Iterator[pa.RecordBatch], columns: int = 3) -> Iterator[tuple[np.ndarray, ...]]:
+    """Sorted (cell, node, point, …) columns, cut only between cells."""
     held: list[tuple[np.ndarray, ...]] = []
     rows = 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)))
+        held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(columns)))
         rows += batch.num_rows
         cells = held[-1][0]
         if rows >= CELL_ROWS and cells[0] != cells[-1]:
@@ -257,21 +257,23 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 2) -> DataFrame
 
 # -- near duplicates by shingle similarity -------------------------------------------------------
 #
-# A similarity of 0.8 between sets of five-word shingles means an angle of 27 degrees: their SimHashes
-# differ in about 10 of 64 bits, more than anchors can cover. But such texts share nearly all their
-# words, so the SimHashes of their *word sets* are within a bit or two. Candidates therefore meet at
-# the anchors of several word fingerprints, each of 49 bits: one changed word of fifty moves 3 of these,
-# but 4 of 64. In a cell the shingle fingerprints pick the pairs worth a
-# look, fewer than members, and the shared shingles of each such pair decide exactly.
+# Texts a and b with a similarity of 0.8 share four fifths of the larger set. In any fixed order of all
+# shingles, the first fifth (and one more) of a then holds a shingle of the first fifth of b: every such
+# pair meets in the cell of a shingle. The order is by hash, shingles that many texts have come last; it
+# decides the cost, never the result. The shared shingles of each pair decide exactly.
 
 SHINGLE = 5
-WORD_PRINTS = 6
-WORD_BITS = np.uint64((1 << 49) - 1)
-SHINGLE_BITS = 18
+SAMPLED = 16  # one text of so many is counted for the order
+HOT = 8  # sampled texts that make a shingle hot
+HOT_SHINGLES = 100_000
+SMALL_CELL = 16
+SALT_ROWS = 1024
 PRINTS = T.StructType(
-    [T.StructField("node", T.LongType()), T.StructField("shingles", T.LongType()), T.StructField("words", T.ArrayType(T.LongType()))]
+    [
+        T.StructField("node", T.LongType()), T.StructField("point", T.LongType()), T.StructField("size", T.IntegerType()),
+        T.StructField("prefix", T.ArrayType(T.LongType())),
+    ]
 )
-MIX = [np.uint64(0x9E3779B97F4A7C15 + 2 * k) for k in range(WORD_PRINTS)]
 
 
 def node(words: list[bytes]) -> int:
@@ -279,47 +281,80 @@ def node(words: list[bytes]) -> int:
     return xxhash.xxh64_intdigest(b" ".join(words), SEED)
 
 
-def text_prints(text: str | None) -> tuple[int, int, list[int]]:
-    """Identity of the word sequence, SimHash of its five-word shingles, SimHashes of its word set."""
-    words = byte_words(text)
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(w, SEED) for w in set(words)], dtype=np.uint64)
-    prints = []
-    for multiplier in MIX:
-        mixed = (hashes ^ (hashes >> np.uint64(31))) * multiplier
-        prints.append(fold((mixed ^ (mixed >> np.uint64(29))) & WORD_BITS))
-    return node(words), fold(shingle_hashes(words, SHINGLE)), prints
-
-
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-@F.pandas_udf(PRINTS)
-def all_prints(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for batch in texts:
-        rows = [text_prints(t) for t in batch]
-        yield pd.DataFrame(
-            {
-                "node": [_signed(r[0]) for r in rows],
-                "shingles": [_signed(r[1]) for r in rows],
-                "words": [[_signed(w) for w in r[2]] for r in rows],
-            }
-        )
+def prefix(shingles: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first of a text's sorted distinct shingles, as many as a text with 0.8 in common cannot miss.
+
+    ``hot`` is sorted; the order is by hash, then hot shingles by rank.
+    """
+    count = len(shingles) - (4 * len(shingles) + 4) // 5 + 1 if len(shingles) else 0
+    if not len(hot):
+        return shingles[:count]
+    at = np.minimum(np.searchsorted(hot, shingles), len(hot) - 1)
+    is_hot = hot[at] == shingles
+    last = at[is_hot]
+    return np.concatenate([shingles[~is_hot], hot[last[np.argsort(rank[last])]]])[:count]
 
 
-def _replicate_word_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        nodes = batch.column(0).to_numpy(zero_copy_only=False)
-        shingles = batch.column(1).to_numpy(zero_copy_only=False)
-        words = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(nodes), -1)
-        for start in range(0, len(nodes), 8192):
-            part = slice(start, start + 8192)
-            for k in range(words.shape[1]):
-                anchors, row = replicas(words[part, k])
-                cells = (anchors * MIX[k]).view(np.int64)
-                columns = [pa.array(cells), pa.array(nodes[part][row]), pa.array(shingles[part][row])]
-                yield pa.RecordBatch.from_arrays(columns, ["cell", "node", "point"])
+def all_prints(hot: np.ndarray, rank: np.ndarray) -> Callable[[Column], Column]:
+    """Identity of the word sequence, SimHash of its five-word shingles, their number and prefix."""
+
+    @F.pandas_udf(PRINTS)
+    def of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in texts:
+            rows = []
+            for text in batch:
+                words = byte_words(text)
+                hashes = shingle_hashes(words, SHINGLE)
+                distinct = np.unique(hashes)
+                rows.append((_signed(node(words)), _signed(fold(hashes)), len(distinct), prefix(distinct, hot, rank).view(np.int64)))
+            yield pd.DataFrame(rows, columns=["node", "point", "size", "prefix"])
+
+    return of
+
+
+def hot_shingles(docs: DataFrame) -> DataFrame:
+    """``cell, texts``: the commonest shingles by a count over a sample of the distinct texts."""
+    sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0).select("text").distinct()
+    counted = sample.select(F.explode(shingle_set("text")).alias("cell")).groupBy("cell").agg(F.count("*").alias("texts"))
+    return counted.where(F.col("texts") >= HOT).orderBy(F.desc("texts"), "cell").limit(HOT_SHINGLES)
+
+
+def alike(size: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sizes and places of a shared shingle leave pairs a similarity of 0.8.
+
+    In one of a pair's cells the shingle is its first shared one, so no more than what follows is shared.
+    """
+    most = np.minimum(size[a] - place[a], size[b] - place[b])
+    either = size[a] + size[b]
+    return (5 * np.minimum(size[a], size[b]) >= 4 * np.maximum(size[a], size[b])) & (9 * most >= 4 * either)
+
+
+def _prefix_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs ``node, other`` of cells: all of a small cell, a shortest spanning tree of a large one."""
+    for keys, nodes, points, cells, size, place, salted in _pieces(batches, 7):
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        sizes = np.diff(np.r_[starts, len(keys)])
+        large = (sizes > SMALL_CELL) | salted[starts]
+        row_large, left = np.repeat(large, sizes), np.repeat(sizes, sizes) - (np.arange(len(keys)) - np.repeat(starts, sizes))
+        a, b = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+        for step in range(1, SMALL_CELL):
+            first = np.flatnonzero((left > step) & ~row_large)
+            a.append(first)
+            b.append(first + step)
+        points = points.view(np.uint64)
+        for start, count in zip(starts[large].tolist(), sizes[large].tolist()):
+            first, second = cell_tree(points[start : start + count], 64)
+            a.append(start + first)
+            b.append(start + second)
+        a, b = np.concatenate(a), np.concatenate(b)
+        fit = alike(size, place, a, b)
+        a, b = nodes[a[fit]], nodes[b[fit]]
+        pairs = pd.DataFrame({"node": np.minimum(a, b), "other": np.maximum(a, b)}).drop_duplicates()
+        yield pa.RecordBatch.from_pandas(pairs, preserve_index=False)
 
 
 @F.pandas_udf(T.LongType())
@@ -350,11 +385,23 @@ def similar_links(links: DataFrame, texts: DataFrame) -> DataFrame:
     return links.join(of_b, "b").join(of_a, "a").where(5 * shared >= 4 * either).select("a", "b")
 
 
-def similar_groups(prints: DataFrame, texts: DataFrame) -> DataFrame:
-    """``node, root`` of texts linked by a similarity of 0.8, among those that share an anchor."""
-    distinct = prints.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("words").alias("words"))
-    members = distinct.mapInArrow(_replicate_word_prints, "cell long, node long, point long")
-    links = cell_links(members, SHINGLE_BITS, cell_tree).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+def prefix_pairs(prints: DataFrame, hot: DataFrame) -> DataFrame:
+    """Pairs ``node, other`` of texts that share a shingle of their prefixes. Hot cells are dealt in salted parts."""
+    distinct = prints.groupBy("node").agg(*[F.first(c).alias(c) for c in ("point", "size", "prefix")])
+    members = distinct.select("node", "point", "size", F.posexplode("prefix").alias("place", "cell")).join(F.broadcast(hot), "cell", "left")
+    parts = F.ceil(F.col("texts") * SAMPLED / SALT_ROWS)
+    salted = F.xxhash64("cell", F.pmod(F.xxhash64("node"), parts))
+    keyed = members.select(
+        F.when(F.col("texts").isNull(), F.col("cell")).otherwise(salted).alias("key"), "node", "point", "cell", "size", "place",
+        F.col("texts").isNotNull().alias("salted"),
+    )
+    dealt = keyed.repartition("key").sortWithinPartitions("key", "node")
+    return dealt.mapInArrow(_prefix_cells, "node long, other long")
+
+
+def similar_groups(prints: DataFrame, texts: DataFrame, hot: DataFrame) -> DataFrame:
+    """``node, root`` of texts linked by a similarity of 0.8."""
+    links = prefix_pairs(prints, hot).select(F.col("node").alias("a"), F.col("other").alias("b"))
     links = staged(links.distinct(), stage_path(prints.sparkSession, "links"))
     return components(similar_links(links, texts))
 
@@ -367,10 +414,15 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    prints = staged(docs.select("doc_id", all_prints("text").alias("p")).select("doc_id", "p.*"), stage_path(spark, "prints"))
+    hot = staged(hot_shingles(docs), stage_path(spark, "hot"))
+    common = hot.orderBy("texts", "cell").toPandas()  # at most HOT_SHINGLES rows
+    cells = common["cell"].to_numpy(dtype=np.int64).view(np.uint64)
+    by_hash = np.argsort(cells)
+    of_text = all_prints(cells[by_hash], by_hash)
+    prints = staged(docs.select("doc_id", of_text("text").alias("p")).select("doc_id", "p.*"), stage_path(spark, "prints"))
     rank = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col("node").alias("of"))
     firsts = prints.groupBy("node").agg(F.min(rank).alias("best"))
-    roots = similar_groups(prints, docs.select(node_of("text").alias("node"), "text"))
+    roots = similar_groups(prints, docs.select(node_of("text").alias("node"), "text"), hot)
     grouped = firsts.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "best")
     best = grouped.groupBy("root").agg(F.min("best").alias("best")).select(
         "root", F.col("best.of").alias("best_node"), F.col("best.id").alias("best_id")

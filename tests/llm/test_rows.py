@@ -197,6 +197,19 @@ def test_similarity_of_kept_texts_is_exact(spark):
     assert {tuple(r) for r in apart.collect()} == {(1, 2)}
 
 
+def test_copies_with_appended_and_cut_blocks_meet(spark):
+    rng = random.Random(21)
+    docs, want = [], set()
+    for k in range(40):
+        words = prose(rng, rng.randint(100, 400)).split()
+        block = len(words) // 6  # a seventh of the union at most
+        other = " ".join(words) + " " + prose(rng, block) if k % 2 else " ".join(words[block:])
+        docs += [(2 * k, " ".join(words), "a"), (2 * k + 1, other, "a")]
+        want.add(2 * k)
+    kept = [r["doc_id"] for r in simhash.keep_one_of_each(table(spark, docs)).collect()]
+    assert sorted(kept) == sorted(want)
+
+
 def test_templates_catch_changed_numbers_and_names(spark):
     item = "A train leaves the old station with Alice at 12,5 km and meets Bob after 3 hours on the long northern line"
     other = "the water in every river of that land ran very low through all of the dry summer months of last year"
