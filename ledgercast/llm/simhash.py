@@ -268,6 +268,7 @@ HOT = 8  # sampled texts that make a shingle hot
 HOT_SHINGLES = 100_000
 SMALL_CELL = 16
 SALT_ROWS = 1024
+PART_ROWS = 4096
 PRINTS = T.StructType(
     [
         T.StructField("node", T.LongType()), T.StructField("point", T.LongType()), T.StructField("size", T.IntegerType()),
@@ -333,8 +334,29 @@ def alike(size: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray) ->
     return (5 * np.minimum(size[a], size[b]) >= 4 * np.maximum(size[a], size[b])) & (9 * most >= 4 * either)
 
 
+CELL_ROWS_OUT = "node long, other long, cell long, size int, place int"
+
+
+def _cell_batch(node, other, cell, size, place) -> pa.RecordBatch:
+    none = lambda kind: pa.nulls(len(node), kind)
+    columns = [
+        pa.array(node, pa.int64()), none(pa.int64()) if other is None else pa.array(other, pa.int64()),
+        none(pa.int64()) if cell is None else pa.array(cell, pa.int64()),
+        none(pa.int32()) if size is None else pa.array(size, pa.int32()), none(pa.int32()) if place is None else pa.array(place, pa.int32()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["node", "other", "cell", "size", "place"])
+
+
+def _pair_batches(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+    pairs = pd.DataFrame({"node": np.minimum(a, b), "other": np.maximum(a, b)}).drop_duplicates()
+    yield _cell_batch(pairs["node"].to_numpy(), pairs["other"].to_numpy(), None, None, None)
+
+
 def _prefix_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs ``node, other`` of cells: all of a small cell, a shortest spanning tree of a large one."""
+    """Pairs ``node, other`` of cells: all of a small cell, a shortest spanning tree of a large one.
+
+    The members of large cells leave as well, with their cell, as the tree does not hold all pairs.
+    """
     for keys, nodes, points, cells, size, place, salted in _pieces(batches, 7):
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         sizes = np.diff(np.r_[starts, len(keys)])
@@ -353,8 +375,9 @@ def _prefix_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         a, b = np.concatenate(a), np.concatenate(b)
         fit = alike(size, place, a, b)
         a, b = nodes[a[fit]], nodes[b[fit]]
-        pairs = pd.DataFrame({"node": np.minimum(a, b), "other": np.maximum(a, b)}).drop_duplicates()
-        yield pa.RecordBatch.from_pandas(pairs, preserve_index=False)
+        yield from _pair_batches(a, b)
+        if large.any():
+            yield _cell_batch(nodes[row_large], None, cells[row_large], size[row_large], place[row_large])
 
 
 @F.pandas_udf(T.LongType())
@@ -385,8 +408,23 @@ def similar_links(links: DataFrame, texts: DataFrame) -> DataFrame:
     return links.join(of_b, "b").join(of_a, "a").where(5 * shared >= 4 * either).select("a", "b")
 
 
+def _rest_of_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs ``node, other`` of a cell that no links join yet. Cells come in parts; a pair of two parts
+    meets in the cell of both."""
+    for keys, nodes, roots, size, place in _pieces(batches, 5):
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+            for i in range(start, end - 1):
+                later = np.arange(i + 1, end)
+                later = later[roots[later] != roots[i]]
+                fit = later[alike(size, place, np.full(len(later), i), later)]
+                if len(fit):
+                    yield from _pair_batches(np.full(len(fit), nodes[i]), nodes[fit])
+
+
 def prefix_pairs(prints: DataFrame, hot: DataFrame) -> DataFrame:
-    """Pairs ``node, other`` of texts that share a shingle of their prefixes. Hot cells are dealt in salted parts."""
+    """Pairs ``node, other`` of texts that share a shingle of their prefixes, and the members ``node, cell,
+    size, place`` of large cells. Hot cells are dealt in salted parts."""
     distinct = prints.groupBy("node").agg(*[F.first(c).alias(c) for c in ("point", "size", "prefix")])
     members = distinct.select("node", "point", "size", F.posexplode("prefix").alias("place", "cell")).join(F.broadcast(hot), "cell", "left")
     parts = F.ceil(F.col("texts") * SAMPLED / SALT_ROWS)
@@ -396,14 +434,43 @@ def prefix_pairs(prints: DataFrame, hot: DataFrame) -> DataFrame:
         F.col("texts").isNotNull().alias("salted"),
     )
     dealt = keyed.repartition("key").sortWithinPartitions("key", "node")
-    return dealt.mapInArrow(_prefix_cells, "node long, other long")
+    return dealt.mapInArrow(_prefix_cells, CELL_ROWS_OUT)
+
+
+def rest_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of large cells whose members are in different groups so far."""
+    rooted = members.join(roots, "node", "left").select("node", "cell", "size", "place", F.coalesce("root", "node").alias("root"))
+    rooted = staged(rooted, stage_path(members.sparkSession, "rooted"))
+    open_cells = rooted.groupBy("cell").agg(F.count("*").alias("rows"), F.min("root").alias("least"), F.max("root").alias("most"))
+    open_cells = open_cells.where("least < most").select("cell", F.ceil(F.col("rows") / PART_ROWS).alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    met = rooted.join(open_cells, "cell").withColumn("part", part).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    keyed = met.select(F.xxhash64("cell", F.least("part", "with"), F.greatest("part", "with")).alias("key"), "node", "root", "size", "place")
+    dealt = keyed.repartition("key").sortWithinPartitions("key", "node")
+    pairs = dealt.mapInArrow(_rest_of_cells, CELL_ROWS_OUT)
+    return pairs.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
 
 
 def similar_groups(prints: DataFrame, texts: DataFrame, hot: DataFrame) -> DataFrame:
-    """``node, root`` of texts linked by a similarity of 0.8."""
-    links = prefix_pairs(prints, hot).select(F.col("node").alias("a"), F.col("other").alias("b"))
-    links = staged(links.distinct(), stage_path(prints.sparkSession, "links"))
-    return components(similar_links(links, texts))
+    """``node, root`` of texts linked by a similarity of 0.8.
+
+    A large cell first joins its members by a tree; then every pair of it that is not in one group yet is
+    decided. So a dense group costs its members and no pair is left out.
+    """
+    spark = prints.sparkSession
+    met = staged(prefix_pairs(prints, hot), stage_path(spark, "met"))
+    links = met.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    links = staged(links.distinct(), stage_path(spark, "links"))
+    similar = staged(similar_links(links, texts), stage_path(spark, "similar"))
+    members = met.where("other IS NULL")
+    if members.isEmpty():
+        return components(similar)
+    roots = staged(components(similar), stage_path(spark, "roots"))
+    rest = staged(rest_pairs(members, roots).join(links, ["a", "b"], "left_anti"), stage_path(spark, "rest"))
+    if rest.isEmpty():
+        return roots
+    more = similar_links(rest, texts)
+    return components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(more.select("a", "b")))
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:

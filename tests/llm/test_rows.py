@@ -210,6 +210,42 @@ def test_copies_with_appended_and_cut_blocks_meet(spark):
     assert sorted(kept) == sorted(want)
 
 
+def test_no_pair_of_a_large_cell_is_left_out(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "PART_ROWS", 3)
+    rng = random.Random(5)
+    docs = []
+    for g in range(5):
+        base = prose(rng, 104).split()
+        for k in range(40):  # pairs on both sides of 0.8, in cells above SMALL_CELL
+            at = rng.sample(range(4, 100), rng.choice([2, 3, 4]))
+            docs.append((100 * g + k, " ".join(f"x{k}" + w if i in at else w for i, w in enumerate(base)), "a"))
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((d[0], d[1].split()) for d in docs)}
+    root = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    kept = {r["doc_id"] for r in simhash.keep_one_of_each(table(spark, docs)).collect()}
+    assert kept == set(root.values()) and len(kept) > 5
+
+
+def test_members_a_tree_left_apart_are_paired():
+    import pyarrow as pa
+
+    count = simhash.SMALL_CELL + 4
+    node, flat = np.arange(count), np.full(count, 100, dtype=np.int32)
+    cell = {"key": np.zeros(count, dtype=np.int64), "node": node, "point": 1 << node}
+    rows = pa.RecordBatch.from_pydict({**cell, "cell": cell["key"], "size": flat, "place": 0 * flat, "salted": np.zeros(count, dtype=bool)})
+    met = [r for b in simhash._prefix_cells(iter([rows])) for r in b.to_pylist()]
+    tree = {(r["node"], r["other"]) for r in met if r["other"] is not None}
+    assert len(tree) < count and sorted(r["node"] for r in met if r["other"] is None) == node.tolist()
+    root = np.where(node < 3, 0, node)  # what the checks of the tree's pairs joined
+    rows = pa.RecordBatch.from_pydict({"key": cell["key"], "node": node, "root": root, "size": flat, "place": 0 * flat})
+    rest = {(r["node"], r["other"]) for b in simhash._rest_of_cells(iter([rows])) for r in b.to_pylist()}
+    assert rest == {(a, b) for a in range(count) for b in range(a + 1, count) if b >= 3}
+
+
 def test_templates_catch_changed_numbers_and_names(spark):
     item = "A train leaves the old station with Alice at 12,5 km and meets Bob after 3 hours on the long northern line"
     other = "the water in every river of that land ran very low through all of the dry summer months of last year"
