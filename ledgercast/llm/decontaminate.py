@@ -1,16 +1,18 @@
 """Benchmark decontamination by templates.
 
-A text becomes a template: numbers, units after numbers, and names are replaced by typed slots, the
-rest is lower-cased words. Windows of eight template tokens of every document are hash-joined with
-those of the benchmark, so a question stays recognisable when its numbers or names are changed. Then
-slots must be consistent: in one occurrence, a value of the item always stands for one value of the
-document. Otherwise the windows agree by form only and do not count.
+A text becomes tokens: lower-cased words, and numbers, units after numbers, and names, which are typed
+slots. Windows of eight tokens of every document are hash-joined with those of the benchmark in four
+forms: plain (every value kept), number slots only, names by their context, and every capitalised word
+a slot. So a question stays recognisable when its numbers or names are changed, and neither letter case nor
+the text around it decides. A window counts if its tokens are equal or slots of one kind; if any value
+changed, five equal words apart from slots are asked for, and in one occurrence a changed value of the
+item must stand for one value of the document. Windows that break this do not count, others do.
 
 DataFrame functions throughout. Windows of documents are probed as they are made; only matches leave
 a task. The benchmark's windows are broadcast behind a count, above which the same join shuffles.
 
-Null texts are empty. Items with fewer than five words apart from slots cannot be told from chance
-and are not searched. Documents that share an id are judged by their texts.
+Null texts are empty and empty items are held by nothing. Items shorter than a window are one window; a
+short one is held by every text with its tokens in a row. Documents that share an id are judged by their texts.
 """
 
 from __future__ import annotations
@@ -33,33 +35,55 @@ UNITS = (
     "meters?|metres?|miles?|feet|inches|grams?|liters?|litres?|seconds?|minutes?|hours?|days?|weeks?|months?|years?|"
     "dollars?|euros?|cents?|percent|degrees?"
 )
-NUMBER_SLOT, NAME_SLOT, UNIT_SLOT, POINT = "\u0001", "\u0002", "\u0003", "\u0004"
+NUMBER_SLOT, NAME_SLOT, UNIT_SLOT, POINT, CAPITAL = "\u0001", "\u0002", "\u0003", "\u0004", "\u0005"
 SLOTS = f"[{NUMBER_SLOT}-{UNIT_SLOT}]"
+MARKS = f"[{NUMBER_SLOT}-{UNIT_SLOT}{CAPITAL}]"
+NUMBERS = "[0-9]"
 NUMBER = r"\p{N}+(?:[.,:]\p{N}+)*"
 # Everything between words: ASCII but letters, digits and the marks; the punctuation of other blocks.
 BETWEEN = (
-    r"[\x00\x05-/:-@\[-`{-\xA9\xAB-\xB1\xB4\xB6-\xB8\xBB\xBF\xD7\xF7"
+    r"[\x00\x06-/:-@\[-`{-\xA9\xAB-\xB1\xB4\xB6-\xB8\xBB\xBF\xD7\xF7"
     r"\x{2000}-\x{206F}\x{20A0}-\x{20CF}\x{3000}-\x{303F}]+"
 )
 
 
 def marked_text(text: Column) -> Column:
-    """Lower-cased tokens split by one space; each slot is its mark and its value."""
-    marks = f"[{NUMBER_SLOT}-{POINT}]"
+    """Lower-cased tokens split by one space, each slot its mark and its value.
+
+    Capitalised words that their context does not make names, as at the start of a sentence, have a mark
+    of their own. Marks aside, the tokens depend on nothing but the words.
+    """
+    marks = f"[{NUMBER_SLOT}-{CAPITAL}]"
     text = F.coalesce(text, F.lit(""))
     text = F.when(text.rlike(marks), F.regexp_replace(text, marks, " ")).otherwise(text)
     units = F.regexp_replace(text, rf"({NUMBER})\s?(?i:({UNITS}))(?![\p{{L}}\p{{N}}])", f" {NUMBER_SLOT}$1 {UNIT_SLOT}$2 ")
-    numbers = F.regexp_replace(units, rf"(?<![\p{{N}}.,:{NUMBER_SLOT}])({NUMBER})", f" {NUMBER_SLOT}$1 ")
+    numbers = F.regexp_replace(units, rf"(?<![\p{{N}}{NUMBER_SLOT}])(?<!\p{{N}}[.,:])({NUMBER})", f" {NUMBER_SLOT}$1 ")
     joined = F.regexp_replace(numbers, r"(?<=\p{N})[.,:](?=\p{N})", POINT)
-    slotted = F.when(text.rlike("[0-9]"), joined).otherwise(text)
+    slotted = F.when(text.rlike(NUMBERS), joined).otherwise(text)
     named = F.regexp_replace(slotted, r"(?<=[\p{Ll},;:] )(?=\p{Lu}\p{Ll})", NAME_SLOT)
+    named = F.regexp_replace(named, rf"(?<![\p{{L}}\p{{M}}\p{{N}}{NAME_SLOT}{UNIT_SLOT}])(?=\p{{Lu}}\p{{Ll}})", CAPITAL)
     return F.lower(F.trim(F.regexp_replace(named, BETWEEN, " ")))
 
 
-def tokens(marked: Column) -> Column:
-    """Template tokens: a slot is reduced to its mark."""
-    template = F.when(marked.rlike(SLOTS), F.regexp_replace(marked, f"({SLOTS})[^ ]*", "$1")).otherwise(marked)
-    return F.split(template, " ")
+def plain_tokens(marked: Column) -> Column:
+    """Tokens with their values, without marks."""
+    return F.split(F.regexp_replace(marked, MARKS, ""), " ")
+
+
+def form_tokens(marked: Column) -> list[Column]:
+    """Tokens of the four forms, one token a place in each: plain, numbers, names, capitals.
+
+    A slot is reduced to its mark. A form equal to another is null.
+    """
+    reduced = lambda c, slots: F.regexp_replace(c, f"([{slots}])[^ ]*", "$1")
+    bare = lambda c, slots: F.regexp_replace(c, f"[{slots}]", "")
+    numbers = reduced(marked, NUMBER_SLOT + UNIT_SLOT)
+    names = reduced(marked, NUMBER_SLOT + NAME_SLOT + UNIT_SLOT)
+    forms = [
+        bare(marked, NUMBER_SLOT + NAME_SLOT + UNIT_SLOT + CAPITAL),
+        F.when(marked.rlike(SLOTS), bare(names, CAPITAL)),
+    ]
+    return [F.split(f, " ") for f in forms]
 
 
 def window_hashes(template: Column, width: int) -> Column:
@@ -68,9 +92,19 @@ def window_hashes(template: Column, width: int) -> Column:
     return F.when(count >= 1, hashes).otherwise(F.array().cast("array<bigint>"))
 
 
-def _templates(df: DataFrame, *keep: Column) -> DataFrame:
-    marked = df.select(*keep, marked_text(F.col("text")).alias("marked"))
-    return marked.withColumn("template", tokens(F.col("marked")))
+def form_hashes(marked: Column, width: int) -> Column:
+    """Array of (position, hash) of the windows in every form; equal ones of a position once."""
+    empty = F.array().cast("array<struct<position:int,hash:bigint>>")
+    found = []
+    for form in form_tokens(marked):
+        hashes = window_hashes(F.transform(form, lambda t: F.xxhash64(t)), width)
+        placed = F.transform(hashes, lambda h, i: F.struct(i.alias("position"), h.alias("hash")))
+        found.append(F.coalesce(placed, empty))
+    return F.array_distinct(F.concat(*found))
+
+
+def _marked(df: DataFrame, *keep: Column) -> DataFrame:
+    return df.select(*keep, marked_text(F.col("text")).alias("marked"))
 
 
 def _slice_at(array: str | Column, position: str, width: int | str) -> Column:
@@ -79,28 +113,27 @@ def _slice_at(array: str | Column, position: str, width: int | str) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``hash, item_id, item_position, item_window, item_values, item_tokens, width``.
+    """``hash, item_id, item_position, item_window, item_tokens, width``, a row per form of a window.
 
     Items shorter than a window are one window of their own width.
     """
-    items = _templates(benchmark, F.col("item_id")).distinct().withColumn("item_tokens", F.size("template"))
+    items = _marked(benchmark, F.col("item_id")).distinct().where("marked <> ''")
+    items = items.withColumn("tokens", F.split("marked", " ")).withColumn("item_tokens", F.size("tokens"))
     windows = []
-    for width in range(LEXICAL, WINDOW + 1):
+    for width in range(1, WINDOW + 1):
         fit = F.col("item_tokens") >= WINDOW if width == WINDOW else F.col("item_tokens") == width
         windows.append(
             items.where(fit)
-            .select("*", F.posexplode(window_hashes(F.col("template"), width)).alias("position", "hash"))
+            .select("*", F.explode(form_hashes(F.col("marked"), width)).alias("w"))
             .select(
-                "hash", "item_id", F.col("position").alias("item_position"), _slice_at("template", "position", width).alias("item_window"),
-                _slice_at(F.split("marked", " "), "position", width).alias("item_values"),
-                "item_tokens", F.lit(width).alias("width"),
+                "w.hash", "item_id", F.col("w.position").alias("item_position"),
+                F.slice("tokens", F.col("w.position") + 1, width).alias("item_window"), "item_tokens", F.lit(width).alias("width"),
             )
         )
     every = windows[0]
     for more in windows[1:]:
         every = every.union(more)
-    lexical = F.size(F.filter("item_window", lambda t: ~t.rlike(SLOTS)))
-    return every.where(lexical >= LEXICAL)
+    return every
 
 
 def text_key(text: Column) -> Column:
@@ -115,12 +148,12 @@ def bounded(rows: DataFrame, most: int) -> DataFrame:
 def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """``text_key, position, width, hash`` of the windows of distinct texts that the benchmark has."""
     spark = docs.sparkSession
-    widths = [r["width"] for r in windows.select("width").distinct().collect()]  # at most 4 rows
+    widths = [r["width"] for r in windows.select("width").distinct().collect()]  # at most 8 rows
     known = bounded(staged(windows.select("hash", "width").distinct(), stage_path(spark, "hashes")), BROADCAST_WINDOWS)
-    templates = _templates(docs, text_key(F.col("text")).alias("text_key"))
+    marked = _marked(docs, text_key(F.col("text")).alias("text_key")).where("marked <> ''")
     found = None
     for width in sorted(widths) or [WINDOW]:
-        exploded = templates.select("text_key", F.posexplode(window_hashes(F.col("template"), width)).alias("position", "hash"))
+        exploded = marked.select("text_key", F.explode(form_hashes(F.col("marked"), width)).alias("w")).select("text_key", "w.*")
         hit = exploded.join(known.where(F.col("width") == width), "hash")
         found = hit if found is None else found.union(hit)
     return staged(found.distinct(), stage_path(spark, "hits"))
@@ -133,15 +166,31 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = hits(docs, windows)
     keys = staged(found.select("text_key").distinct(), stage_path(spark, "keys"))
     texts = docs.select(text_key(F.col("text")).alias("text_key"), "text").join(bounded(keys, BROADCAST_TEXTS), "text_key", "left_semi")
-    texts = _templates(texts.groupBy("text_key").agg(F.first("text").alias("text")), F.col("text_key"))
+    texts = _marked(texts.groupBy("text_key").agg(F.first("text").alias("text")), F.col("text_key"))
     located = found.join(windows, ["hash", "width"]).join(texts, "text_key")
-    return located.where(_slice_at("template", "position", "width") == F.col("item_window")).select(
+    pairs = F.transform(
+        F.arrays_zip(F.col("item_window").alias("item"), _slice_at(F.split("marked", " "), "position", "width").alias("doc")),
+        lambda p: F.struct(
+            kind(p["item"]).alias("kind"), kind(p["doc"]).alias("doc_kind"), F.regexp_replace(p["item"], MARKS, "").alias("item"),
+            F.regexp_replace(p["doc"], MARKS, "").alias("doc"), p["item"].rlike(SLOTS).alias("slot"),
+        ),
+    )
+    compared = located.withColumn("pairs", pairs)
+    same = F.forall("pairs", lambda p: (p["item"] == p["doc"]) | ((p["kind"] != "") & (p["kind"] == p["doc_kind"])))
+    unchanged = F.forall("pairs", lambda p: p["item"] == p["doc"])
+    words = F.size(F.filter("pairs", lambda p: (p["item"] == p["doc"]) & ~p["slot"]))
+    slots = F.transform(F.filter("pairs", lambda p: p["kind"] != ""), lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc")))
+    return compared.where(same & (unchanged | (words >= LEXICAL))).select(
         "text_key", "item_id", "item_tokens", "item_position", "width",
-        (F.col("position") - F.col("item_position")).alias("shift"), "item_values",
-        _slice_at(F.split("marked", " "), "position", "width").alias("doc_values"),
+        (F.col("position") - F.col("item_position")).alias("shift"), F.array_distinct(slots).alias("slots"),
     )
 
 
+def kind(token: Column) -> Column:
+    """Mark of a slot; capitalised words count as names, other words have none."""
+    return F.translate(F.regexp_extract(token, MARKS, 0), CAPITAL, NAME_SLOT)
+
+
 def covered_tokens(positions: Column, width: Column) -> Column:
     """Tokens covered by windows of one width at the given positions."""
     ordered = F.array_sort(positions)
@@ -155,18 +204,22 @@ def covered_tokens(positions: Column, width: Column) -> Column:
 def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``text_key, item_id, covered, item_tokens, share, changed_slots`` of each distinct text that
     holds a benchmark item: half of its tokens or 40 of them, in windows with consistent slots."""
-    slots = F.filter(
-        F.arrays_zip(F.col("item_values").alias("item"), F.col("doc_values").alias("doc")), lambda p: p["item"].rlike(SLOTS)
-    )
     key = ["text_key", "item_id", "item_tokens", "width"]
+    window = F.struct("item_position", "slots")
     occurrences = matches(docs, benchmark).groupBy(*key, "shift").agg(
-        F.collect_set("item_position").alias("positions"), F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots")
+        F.collect_set(window).alias("windows"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("all_slots")
+    )
+    # Pairs of a changed value whose item value stands for another value too.
+    conflicting = F.filter(
+        "all_slots", lambda p: F.exists("all_slots", lambda q: (q["item"] == p["item"]) & (q["doc"] != p["doc"]))
     )
-    values = F.size(F.array_distinct(F.transform("slots", lambda p: p["item"])))
-    consistent = occurrences.where(values == F.size("slots"))
-    changed = F.size(F.filter("slots", lambda p: p["item"] != p["doc"]))
-    merged = consistent.groupBy(*key).agg(
-        F.array_distinct(F.flatten(F.collect_set("positions"))).alias("positions"), F.min(changed).alias("changed_slots")
+    kept = occurrences.withColumn("conflicts", conflicting).withColumn(
+        "windows", F.when(F.size("conflicts") == 0, F.col("windows"))
+    ).where(F.size("windows") > 0)
+    slots = F.array_distinct(F.flatten(F.col("windows.slots")))
+    changed = F.size(F.filter(slots, lambda p: p["item"] != p["doc"]))
+    merged = kept.groupBy(*key).agg(
+        F.array_distinct(F.flatten(F.collect_set("windows.item_position"))).alias("positions"), F.min(changed).alias("changed_slots")
     )
     measured = merged.withColumn("covered", covered_tokens(F.col("positions"), F.col("width")))
     share = F.col("covered") / F.col("item_tokens")

@@ -271,6 +271,18 @@ def test_inconsistent_slots_do_not_count(spark):
     assert [r["doc_id"] for r in got] == [2]
 
 
+def held(spark, item, *texts):
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = table(spark, [(k, t, "s") for k, t in enumerate(texts)])
+    return {r["doc_id"] for r in decontaminate.contaminated_items(docs, bench).collect()}
+
+
+def test_items_dense_in_slots_and_short_items_are_held(spark):
+    item = "Which American-born Sinclair won the Nobel Prize for Literature in 1930?"
+    assert held(spark, item, f"He asked: {item} And left", "Which prize did Sinclair win in 1930?") == {0}
+    assert held(spark, "Name four moons", "so name four moons, please", "name three moons") == {0}
+
+
 def test_leaks_in_the_documents_are_found(spark, sf):
     import re
 
