@@ -81,7 +81,9 @@ def form_tokens(marked: Column) -> list[Column]:
     names = reduced(marked, NUMBER_SLOT + NAME_SLOT + UNIT_SLOT)
     forms = [
         bare(marked, NUMBER_SLOT + NAME_SLOT + UNIT_SLOT + CAPITAL),
-        F.when(marked.rlike(SLOTS), bare(names, CAPITAL)),
+        F.when(marked.rlike(f"[{NUMBER_SLOT}{UNIT_SLOT}]"), bare(numbers, NAME_SLOT + CAPITAL)),
+        F.when(marked.rlike(NAME_SLOT), bare(names, CAPITAL)),
+        F.when(marked.rlike(CAPITAL), reduced(F.translate(names, CAPITAL, NAME_SLOT), NAME_SLOT)),
     ]
     return [F.split(f, " ") for f in forms]
 

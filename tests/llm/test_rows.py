@@ -283,6 +283,13 @@ def test_items_dense_in_slots_and_short_items_are_held(spark):
     assert held(spark, "Name four moons", "so name four moons, please", "name three moons") == {0}
 
 
+def test_case_and_context_do_not_decide(spark):
+    item = "What is the capital city of Peru?"
+    assert held(spark, item, f"Question: {item}", item.upper(), item.lower(), item.title(), "What is it of Peru?") == {0, 1, 2, 3}
+    item = "Alice walks to the old market every day. Alice then sells bread there until the evening"
+    assert held(spark, item, item.replace("Alice", "Maria"), item.replace("Alice", "walks")) == {0}
+
+
 def test_leaks_in_the_documents_are_found(spark, sf):
     import re
 
