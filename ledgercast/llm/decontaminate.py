@@ -38,7 +38,7 @@ UNITS = (
 NUMBER_SLOT, NAME_SLOT, UNIT_SLOT, POINT, CAPITAL = "\u0001", "\u0002", "\u0003", "\u0004", "\u0005"
 SLOTS = f"[{NUMBER_SLOT}-{UNIT_SLOT}]"
 MARKS = f"[{NUMBER_SLOT}-{UNIT_SLOT}{CAPITAL}]"
-NUMBERS = "[0-9]"
+NUMBERS = r"\p{N}"
 NUMBER = r"\p{N}+(?:[.,:]\p{N}+)*"
 # Everything between words: ASCII but letters, digits and the marks; the punctuation of other blocks.
 BETWEEN = (

@@ -290,6 +290,11 @@ def test_case_and_context_do_not_decide(spark):
     assert held(spark, item, item.replace("Alice", "Maria"), item.replace("Alice", "walks")) == {0}
 
 
+def test_other_numerals_are_slots_in_every_text(spark):
+    item = "the sum of x² and ½ of the other side is taken from all Ⅳ parts of the whole"
+    assert held(spark, item, f"{item} on page 7", item.replace("²", "³").replace("½", "¼")) == {0, 1}
+
+
 def test_leaks_in_the_documents_are_found(spark, sf):
     import re
 
