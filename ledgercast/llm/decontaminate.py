@@ -213,10 +213,10 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     # Pairs of a changed value whose item value stands for another value too.
     conflicting = F.filter(
-        "all_slots", lambda p: F.exists("all_slots", lambda q: (q["item"] == p["item"]) & (q["doc"] != p["doc"]))
+        "all_slots", lambda p: (p["item"] != p["doc"]) & F.exists("all_slots", lambda q: (q["item"] == p["item"]) & (q["doc"] != p["doc"]))
     )
     kept = occurrences.withColumn("conflicts", conflicting).withColumn(
-        "windows", F.when(F.size("conflicts") == 0, F.col("windows"))
+        "windows", F.filter("windows", lambda w: ~F.arrays_overlap(w["slots"], "conflicts"))
     ).where(F.size("windows") > 0)
     slots = F.array_distinct(F.flatten(F.col("windows.slots")))
     changed = F.size(F.filter(slots, lambda p: p["item"] != p["doc"]))

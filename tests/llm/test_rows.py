@@ -295,6 +295,16 @@ def test_other_numerals_are_slots_in_every_text(spark):
     assert held(spark, item, f"{item} on page 7", item.replace("²", "³").replace("½", "¼")) == {0, 1}
 
 
+def test_one_conflicting_slot_drops_only_its_windows(spark):
+    rng = random.Random(2)
+    words = prose(rng, 120).split()
+    for at in (10, 60, 110):
+        words[at] = "77"
+    twisted = list(words)
+    twisted[60] = "78"
+    assert held(spark, " ".join(words), " ".join(twisted)) == {0}
+
+
 def test_leaks_in_the_documents_are_found(spark, sf):
     import re
 
