@@ -6,17 +6,21 @@ forms: plain (every value kept), number slots only, names by their context, and
 a slot. So a question stays recognisable when its numbers or names are changed, and neither letter case nor
 the text around it decides. A window counts if its tokens are equal or slots of one kind; if any value
 changed, five equal words apart from slots are asked for, and in one occurrence a changed value of the
-item must stand for one value of the document. Windows that break this do not count, others do.
+item must stand for one value of the document (two values of the item may meet in one of the document's,
+as changed numbers can coincide). Windows that break this do not count, others do.
 
-DataFrame functions throughout. Windows of documents are probed as they are made; only matches leave
-a task. The benchmark's windows are broadcast behind a count, above which the same join shuffles.
+DataFrame functions throughout, each text marked once for all widths, in time linear in its tokens.
+Windows of documents are probed as they are made; only matches leave a task. The benchmark's windows are broadcast behind a count, above which the same join shuffles.
 
-Null texts are empty and empty items are held by nothing. Items shorter than a window are one window; a
+Names need letter case and tokens need spaces: texts in scripts without them have no name slots and are
+matched by their plain tokens. Null texts are empty and empty items are held by nothing. Items shorter than a window are one window; a
 short one is held by every text with its tokens in a row. Documents that share an id are judged by their texts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgercast.session import stage_path
@@ -36,6 +40,7 @@ UNITS = (
     "dollars?|euros?|cents?|percent|degrees?"
 )
 NUMBER_SLOT, NAME_SLOT, UNIT_SLOT, POINT, CAPITAL = "\u0001", "\u0002", "\u0003", "\u0004", "\u0005"
+PAIR = "\u0006"
 SLOTS = f"[{NUMBER_SLOT}-{UNIT_SLOT}]"
 MARKS = f"[{NUMBER_SLOT}-{UNIT_SLOT}{CAPITAL}]"
 NUMBERS = r"\p{N}"
@@ -60,8 +65,8 @@ def marked_text(text: Column) -> Column:
     numbers = F.regexp_replace(units, rf"(?<![\p{{N}}{NUMBER_SLOT}])(?<!\p{{N}}[.,:])({NUMBER})", f" {NUMBER_SLOT}$1 ")
     joined = F.regexp_replace(numbers, r"(?<=\p{N})[.,:](?=\p{N})", POINT)
     slotted = F.when(text.rlike(NUMBERS), joined).otherwise(text)
-    named = F.regexp_replace(slotted, r"(?<=[\p{Ll},;:] )(?=\p{Lu}\p{Ll})", NAME_SLOT)
-    named = F.regexp_replace(named, rf"(?<![\p{{L}}\p{{M}}\p{{N}}{NAME_SLOT}{UNIT_SLOT}])(?=\p{{Lu}}\p{{Ll}})", CAPITAL)
+    named = F.regexp_replace(slotted, r"(?=\p{Lu}\p{Ll})(?<=[\p{Ll},;:] )", NAME_SLOT)
+    named = F.regexp_replace(named, rf"(?=\p{{Lu}}\p{{Ll}})(?<![\p{{L}}\p{{M}}\p{{N}}{NAME_SLOT}{UNIT_SLOT}])", CAPITAL)
     return F.lower(F.trim(F.regexp_replace(named, BETWEEN, " ")))
 
 
@@ -88,30 +93,57 @@ def form_tokens(marked: Column) -> list[Column]:
     return [F.split(f, " ") for f in forms]
 
 
-def window_hashes(template: Column, width: int) -> Column:
-    count = F.size(template) - F.lit(width - 1)
-    hashes = F.transform(F.sequence(F.lit(1), count), lambda i: F.xxhash64(F.slice(template, i, F.lit(width))))
-    return F.when(count >= 1, hashes).otherwise(F.array().cast("array<bigint>"))
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def form_hashes(marked: Column, width: int) -> Column:
-    """Array of (position, hash) of the windows in every form; equal ones of a position once."""
-    empty = F.array().cast("array<struct<position:int,hash:bigint>>")
-    found = []
-    for form in form_tokens(marked):
-        hashes = window_hashes(F.transform(form, lambda t: F.xxhash64(t)), width)
-        placed = F.transform(hashes, lambda h, i: F.struct(i.alias("position"), h.alias("hash")))
-        found.append(F.coalesce(placed, empty))
-    return F.array_distinct(F.concat(*found))
+def _window_at(tokens: Column, position: Column, width: Column | int) -> Column:
+    """Tokens of one window, by index: a slice inside a lambda would copy the whole text."""
+    last = width - 1 if isinstance(width, Column) else F.lit(width - 1)
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.get(tokens, position + k))
 
 
-def _marked(df: DataFrame, *keep: Column) -> DataFrame:
-    return df.select(*keep, marked_text(F.col("text")).alias("marked"))
+FORMS = ["plain", "numbers", "names", "capitals"]
+
+
+def form_hashes(marked: Column, widths: list[int]) -> Column:
+    """Array of (position, width, and the window's hash in each form; null where a text lacks the form)."""
+
+    def placed(forms: Column, width: int) -> Column:
+        def at(i: Column) -> Column:
+            hashes = []
+            for k, name in enumerate(FORMS):
+                of_form = forms[k]
+                hashed = F.xxhash64(*[F.get(of_form, i + step) for step in range(width)])
+                hashes.append(F.when(of_form.isNotNull(), hashed).alias(name))
+            return F.struct(i.alias("position"), F.lit(width).alias("width"), *hashes)
+
+        count = F.size(forms[0])
+        found = F.transform(F.sequence(F.lit(0), count - width), at)
+        return F.when(count >= width, found).otherwise(F.slice(F.transform(F.sequence(F.lit(0), F.lit(0)), at), 1, 0))
+
+    def of(text: Column) -> Column:
+        hashed = F.array(*[F.transform(form, lambda t: F.xxhash64(t)) for form in form_tokens(text)])
+        return bound(hashed, lambda forms: F.concat(*[placed(forms, w) for w in widths]))
+
+    return bound(marked, of)
 
 
-def _slice_at(array: str | Column, position: str, width: int | str) -> Column:
-    width = F.col(width) if isinstance(width, str) else F.lit(width)
-    return F.slice(array, F.col(position) + 1, width)
+def explode_forms(df: DataFrame, widths: list[int], *keep: str) -> DataFrame:
+    """``position, width, hash`` beside the kept columns: equal hashes of a position once."""
+    placed = df.select(*keep, F.explode(form_hashes(F.col("marked"), widths)).alias("w")).select(*keep, "w.*")
+    fresh = [F.col("plain")]
+    for k, name in enumerate(FORMS[1:], 1):
+        known = F.lit(False)
+        for earlier in FORMS[:k]:
+            known = known | F.col(name).eqNullSafe(F.col(earlier))
+        fresh.append(F.when(~known, F.col(name)))
+    return placed.select(*keep, "position", "width", F.explode(F.array(*fresh)).alias("hash")).where("hash IS NOT NULL")
+
+
+def _marked(df: DataFrame, *keep: Column) -> DataFrame:
+    return df.select(*keep, marked_text(F.col("text")).alias("marked"))
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
@@ -121,15 +153,14 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """
     items = _marked(benchmark, F.col("item_id")).distinct().where("marked <> ''")
     items = items.withColumn("tokens", F.split("marked", " ")).withColumn("item_tokens", F.size("tokens"))
+    own_width = F.least(F.col("item_tokens"), F.lit(WINDOW))
+    widths = [r["width"] for r in items.select(own_width.alias("width")).distinct().collect()]  # at most 8 rows
     windows = []
-    for width in range(1, WINDOW + 1):
-        fit = F.col("item_tokens") >= WINDOW if width == WINDOW else F.col("item_tokens") == width
+    for width in sorted(widths) or [WINDOW]:
         windows.append(
-            items.where(fit)
-            .select("*", F.explode(form_hashes(F.col("marked"), width)).alias("w"))
-            .select(
-                "w.hash", "item_id", F.col("w.position").alias("item_position"),
-                F.slice("tokens", F.col("w.position") + 1, width).alias("item_window"), "item_tokens", F.lit(width).alias("width"),
+            explode_forms(items.where(own_width == width), [width], "item_id", "tokens", "item_tokens").select(
+                "hash", "item_id", F.col("position").alias("item_position"),
+                _window_at(F.col("tokens"), F.col("position"), width).alias("item_window"), "item_tokens", "width",
             )
         )
     every = windows[0]
@@ -153,35 +184,43 @@ def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
     widths = [r["width"] for r in windows.select("width").distinct().collect()]  # at most 8 rows
     known = bounded(staged(windows.select("hash", "width").distinct(), stage_path(spark, "hashes")), BROADCAST_WINDOWS)
     marked = _marked(docs, text_key(F.col("text")).alias("text_key")).where("marked <> ''")
-    found = None
-    for width in sorted(widths) or [WINDOW]:
-        exploded = marked.select("text_key", F.explode(form_hashes(F.col("marked"), width)).alias("w")).select("text_key", "w.*")
-        hit = exploded.join(known.where(F.col("width") == width), "hash")
-        found = hit if found is None else found.union(hit)
-    return staged(found.distinct(), stage_path(spark, "hits"))
+    exploded = explode_forms(marked, sorted(widths) or [WINDOW], "text_key")
+    return staged(exploded.join(known, ["hash", "width"]).distinct(), stage_path(spark, "hits"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Windows of distinct texts that equal a benchmark window, with the values in their slots."""
+    """Windows of distinct texts that equal a benchmark window, with the values in their slots.
+
+    A slot pair is one string, the item's value and the document's.
+    """
     spark = docs.sparkSession
     windows = staged(benchmark_windows(benchmark), stage_path(spark, "windows"))
     found = hits(docs, windows)
     keys = staged(found.select("text_key").distinct(), stage_path(spark, "keys"))
     texts = docs.select(text_key(F.col("text")).alias("text_key"), "text").join(bounded(keys, BROADCAST_TEXTS), "text_key", "left_semi")
     texts = _marked(texts.groupBy("text_key").agg(F.first("text").alias("text")), F.col("text_key"))
-    located = found.join(windows, ["hash", "width"]).join(texts, "text_key")
+    places = found.groupBy("text_key").agg(F.collect_list(F.struct("position", "width", "hash")).alias("places"))
+    read = bound(
+        F.split("marked", " "),
+        lambda tokens: F.transform(
+            F.col("places"),
+            lambda w: F.struct(w["position"], w["width"], w["hash"], _window_at(tokens, w["position"], w["width"]).alias("window")),
+        ),
+    )
+    placed = texts.join(places, "text_key").select("text_key", F.explode(read).alias("w"))
+    placed = placed.select("text_key", *[F.col(f"w.{c}").alias(c) for c in ("position", "width", "hash", "window")])
     pairs = F.transform(
-        F.arrays_zip(F.col("item_window").alias("item"), _slice_at(F.split("marked", " "), "position", "width").alias("doc")),
+        F.arrays_zip(F.col("item_window").alias("item"), F.col("window").alias("doc")),
         lambda p: F.struct(
             kind(p["item"]).alias("kind"), kind(p["doc"]).alias("doc_kind"), F.regexp_replace(p["item"], MARKS, "").alias("item"),
             F.regexp_replace(p["doc"], MARKS, "").alias("doc"), p["item"].rlike(SLOTS).alias("slot"),
         ),
     )
-    compared = located.withColumn("pairs", pairs)
+    compared = placed.join(windows, ["hash", "width"]).withColumn("pairs", pairs)
     same = F.forall("pairs", lambda p: (p["item"] == p["doc"]) | ((p["kind"] != "") & (p["kind"] == p["doc_kind"])))
     unchanged = F.forall("pairs", lambda p: p["item"] == p["doc"])
     words = F.size(F.filter("pairs", lambda p: (p["item"] == p["doc"]) & ~p["slot"]))
-    slots = F.transform(F.filter("pairs", lambda p: p["kind"] != ""), lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc")))
+    slots = F.transform(F.filter("pairs", lambda p: p["kind"] != ""), lambda p: F.concat(p["item"], F.lit(PAIR), p["doc"]))
     return compared.where(same & (unchanged | (words >= LEXICAL))).select(
         "text_key", "item_id", "item_tokens", "item_position", "width",
         (F.col("position") - F.col("item_position")).alias("shift"), F.array_distinct(slots).alias("slots"),
@@ -195,12 +234,39 @@ def kind(token: Column) -> Column:
 
 def covered_tokens(positions: Column, width: Column) -> Column:
     """Tokens covered by windows of one width at the given positions."""
-    ordered = F.array_sort(positions)
-    gaps = F.transform(
-        F.sequence(F.lit(1), F.size(ordered)),
-        lambda i: F.when(i == F.size(ordered), width).otherwise(F.least(width, F.element_at(ordered, i + 1) - F.element_at(ordered, i))),
-    )
-    return F.aggregate(gaps, F.lit(0), lambda total, gap: total + gap)
+
+    def gaps(ordered: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(ordered)),
+            lambda i: F.when(i == F.size(ordered), width).otherwise(F.least(width, F.element_at(ordered, i + 1) - F.element_at(ordered, i))),
+        )
+
+    return F.aggregate(bound(F.array_sort(positions), gaps), F.lit(0), lambda total, gap: total + gap)
+
+
+def item_value(pair: Column) -> Column:
+    return F.substring_index(pair, PAIR, 1)
+
+
+def is_changed(pair: Column) -> Column:
+    return item_value(pair) != F.substring_index(pair, PAIR, -1)
+
+
+def conflicting(pairs: Column) -> Column:
+    """Pairs of a changed value whose item value stands for another value of the document too.
+
+    Sorted, the pairs of one item value are neighbours.
+    """
+
+    def met(ordered: Column) -> Column:
+        def twice(pair: Column, at: Column) -> Column:
+            before = F.when(at > 0, item_value(F.get(ordered, at - 1)))
+            shared = before.eqNullSafe(item_value(pair)) | item_value(F.get(ordered, at + 1)).eqNullSafe(item_value(pair))
+            return is_changed(pair) & shared
+
+        return F.filter(ordered, twice)
+
+    return bound(F.array_sort(F.array_distinct(pairs)), met)
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -209,17 +275,13 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     key = ["text_key", "item_id", "item_tokens", "width"]
     window = F.struct("item_position", "slots")
     occurrences = matches(docs, benchmark).groupBy(*key, "shift").agg(
-        F.collect_set(window).alias("windows"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("all_slots")
-    )
-    # Pairs of a changed value whose item value stands for another value too.
-    conflicting = F.filter(
-        "all_slots", lambda p: (p["item"] != p["doc"]) & F.exists("all_slots", lambda q: (q["item"] == p["item"]) & (q["doc"] != p["doc"]))
+        F.collect_set(window).alias("windows"), conflicting(F.flatten(F.collect_set("slots"))).alias("conflicts")
     )
-    kept = occurrences.withColumn("conflicts", conflicting).withColumn(
+    kept = occurrences.withColumn(
         "windows", F.filter("windows", lambda w: ~F.arrays_overlap(w["slots"], "conflicts"))
     ).where(F.size("windows") > 0)
     slots = F.array_distinct(F.flatten(F.col("windows.slots")))
-    changed = F.size(F.filter(slots, lambda p: p["item"] != p["doc"]))
+    changed = F.size(F.filter(slots, is_changed))
     merged = kept.groupBy(*key).agg(
         F.array_distinct(F.flatten(F.collect_set("windows.item_position"))).alias("positions"), F.min(changed).alias("changed_slots")
     )
