@@ -107,39 +107,51 @@ def _window_at(tokens: Column, position: Column, width: Column | int) -> Column:
 FORMS = ["plain", "numbers", "names", "capitals"]
 
 
-def form_hashes(marked: Column, widths: list[int]) -> Column:
-    """Array of (position, width, and the window's hash in each form; null where a text lacks the form)."""
+def _joined(hashes: Column, step: int) -> Column:
+    """Hash of each element with the one ``step`` places on."""
+    later = F.slice(hashes, F.lit(step + 1), F.greatest(F.size(hashes) - step, F.lit(0)))
+    return F.zip_with(hashes, later, lambda a, b: F.xxhash64(a, b))
 
-    def placed(forms: Column, width: int) -> Column:
-        def at(i: Column) -> Column:
-            hashes = []
-            for k, name in enumerate(FORMS):
-                of_form = forms[k]
-                hashed = F.xxhash64(*[F.get(of_form, i + step) for step in range(width)])
-                hashes.append(F.when(of_form.isNotNull(), hashed).alias(name))
-            return F.struct(i.alias("position"), F.lit(width).alias("width"), *hashes)
 
-        count = F.size(forms[0])
-        found = F.transform(F.sequence(F.lit(0), count - width), at)
-        return F.when(count >= width, found).otherwise(F.slice(F.transform(F.sequence(F.lit(0), F.lit(0)), at), 1, 0))
+def window_hashes(tokens: Column, width: int) -> Column:
+    """Hash of the window at every position, by doubling: two stretches that overlap or meet make one window."""
 
-    def of(text: Column) -> Column:
-        hashed = F.array(*[F.transform(form, lambda t: F.xxhash64(t)) for form in form_tokens(text)])
-        return bound(hashed, lambda forms: F.concat(*[placed(forms, w) for w in widths]))
+    def widened(hashes: Column, reach: int) -> Column:
+        if reach == width:
+            return F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - (width - 1), F.lit(0)))
+        step = min(reach, width - reach)
+        return bound(_joined(hashes, step), lambda next_: widened(next_, reach + step))
 
-    return bound(marked, of)
+    return bound(F.transform(tokens, lambda t: F.xxhash64(t)), lambda hashes: widened(hashes, 1))
 
 
 def explode_forms(df: DataFrame, widths: list[int], *keep: str) -> DataFrame:
-    """``position, width, hash`` beside the kept columns: equal hashes of a position once."""
-    placed = df.select(*keep, F.explode(form_hashes(F.col("marked"), widths)).alias("w")).select(*keep, "w.*")
+    """``position, width, hash`` of the windows in every form beside the kept columns: equal hashes of a
+    position once."""
+
+    def of(marked: Column) -> Column:
+        forms = form_tokens(marked)
+        return F.array(*[
+            bound(
+                window_hashes(forms[0], width),
+                lambda plain: F.arrays_zip(*[
+                    (plain if k == 0 else F.coalesce(window_hashes(form, width), plain)).alias(name)
+                    for k, (name, form) in enumerate(zip(FORMS, forms))
+                ]),
+            )
+            for width in widths
+        ])
+
+    lists = df.select(*keep, F.posexplode(bound(F.col("marked"), of)).alias("which", "windows"))
+    placed = lists.select(*keep, "which", F.posexplode("windows").alias("position", "w")).select(*keep, "which", "position", "w.*")
     fresh = [F.col("plain")]
     for k, name in enumerate(FORMS[1:], 1):
         known = F.lit(False)
         for earlier in FORMS[:k]:
-            known = known | F.col(name).eqNullSafe(F.col(earlier))
+            known = known | (F.col(name) == F.col(earlier))
         fresh.append(F.when(~known, F.col(name)))
-    return placed.select(*keep, "position", "width", F.explode(F.array(*fresh)).alias("hash")).where("hash IS NOT NULL")
+    width = F.element_at(F.array(*[F.lit(w) for w in widths]), F.col("which") + 1).alias("width")
+    return placed.select(*keep, "position", width, F.explode(F.array(*fresh)).alias("hash")).where("hash IS NOT NULL")
 
 
 def _marked(df: DataFrame, *keep: Column) -> DataFrame:
