@@ -47,8 +47,8 @@ NUMBERS = r"\p{N}"
 NUMBER = r"\p{N}+(?:[.,:]\p{N}+)*"
 # Everything between words: ASCII but letters, digits and the marks; the punctuation of other blocks.
 BETWEEN = (
-    r"[\x00\x06-/:-@\[-`{-\xA9\xAB-\xB1\xB4\xB6-\xB8\xBB\xBF\xD7\xF7"
-    r"\x{2000}-\x{206F}\x{20A0}-\x{20CF}\x{3000}-\x{303F}]+"
+    r"\x00\x06-/:-@\[-`{-\xA9\xAB-\xB1\xB4\xB6-\xB8\xBB\xBF\xD7\xF7"
+    r"\x{2000}-\x{206F}\x{20A0}-\x{20CF}\x{3000}-\x{303F}"
 )
 
 
@@ -66,31 +66,8 @@ def marked_text(text: Column) -> Column:
     joined = F.regexp_replace(numbers, r"(?<=\p{N})[.,:](?=\p{N})", POINT)
     slotted = F.when(text.rlike(NUMBERS), joined).otherwise(text)
     named = F.regexp_replace(slotted, r"(?=\p{Lu}\p{Ll})(?<=[\p{Ll},;:] )", NAME_SLOT)
-    named = F.regexp_replace(named, rf"(?=\p{{Lu}}\p{{Ll}})(?<![\p{{L}}\p{{M}}\p{{N}}{NAME_SLOT}{UNIT_SLOT}])", CAPITAL)
-    return F.lower(F.trim(F.regexp_replace(named, BETWEEN, " ")))
-
-
-def plain_tokens(marked: Column) -> Column:
-    """Tokens with their values, without marks."""
-    return F.split(F.regexp_replace(marked, MARKS, ""), " ")
-
-
-def form_tokens(marked: Column) -> list[Column]:
-    """Tokens of the four forms, one token a place in each: plain, numbers, names, capitals.
-
-    A slot is reduced to its mark. A form equal to another is null.
-    """
-    reduced = lambda c, slots: F.regexp_replace(c, f"([{slots}])[^ ]*", "$1")
-    bare = lambda c, slots: F.regexp_replace(c, f"[{slots}]", "")
-    numbers = reduced(marked, NUMBER_SLOT + UNIT_SLOT)
-    names = reduced(marked, NUMBER_SLOT + NAME_SLOT + UNIT_SLOT)
-    forms = [
-        bare(marked, NUMBER_SLOT + NAME_SLOT + UNIT_SLOT + CAPITAL),
-        F.when(marked.rlike(f"[{NUMBER_SLOT}{UNIT_SLOT}]"), bare(numbers, NAME_SLOT + CAPITAL)),
-        F.when(marked.rlike(NAME_SLOT), bare(names, CAPITAL)),
-        F.when(marked.rlike(CAPITAL), reduced(F.translate(names, CAPITAL, NAME_SLOT), NAME_SLOT)),
-    ]
-    return [F.split(f, " ") for f in forms]
+    named = F.regexp_replace(named, rf"(?=\p{{Lu}}\p{{Ll}})(?<![^{BETWEEN}])", CAPITAL)
+    return F.lower(F.trim(F.regexp_replace(named, f"[{BETWEEN}]+", " ")))
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -107,40 +84,64 @@ def _window_at(tokens: Column, position: Column, width: Column | int) -> Column:
 FORMS = ["plain", "numbers", "names", "capitals"]
 
 
+def token_hashes(tokens: Column, marked: Column) -> list[Column]:
+    """Hashes of the tokens in the four forms: plain, numbers, names, capitals.
+
+    A slot is reduced to its mark, and marks lead their token. A form equal to another is null.
+    """
+    number, name, unit = (F.xxhash64(F.lit(mark)) for mark in (NUMBER_SLOT, NAME_SLOT, UNIT_SLOT))
+
+    def plain(t: Column) -> Column:
+        return F.xxhash64(F.when(t < F.lit(PAIR), F.substring(t, 2, 1 << 30)).otherwise(t))
+
+    def numbers(t: Column) -> Column:
+        return F.when(t < NAME_SLOT, number).when((t >= UNIT_SLOT) & (t < POINT), unit)
+
+    def names(t: Column) -> Column:
+        return F.when(t < NAME_SLOT, number).when(t < UNIT_SLOT, name).when(t < POINT, unit)
+
+    def reduced(slots: Callable[[Column], Column]) -> Column:
+        return F.transform(tokens, lambda t: F.when(t >= F.lit(PAIR), F.xxhash64(t)).otherwise(F.coalesce(slots(t), plain(t))))
+
+    return [
+        F.transform(tokens, plain),
+        F.when(marked.rlike(f"[{NUMBER_SLOT}{UNIT_SLOT}]"), reduced(numbers)),
+        F.when(marked.rlike(NAME_SLOT), reduced(names)),
+        F.when(marked.rlike(CAPITAL), reduced(lambda t: names(t).when(t < F.lit(PAIR), name))),
+    ]
+
+
 def _joined(hashes: Column, step: int) -> Column:
     """Hash of each element with the one ``step`` places on."""
     later = F.slice(hashes, F.lit(step + 1), F.greatest(F.size(hashes) - step, F.lit(0)))
     return F.zip_with(hashes, later, lambda a, b: F.xxhash64(a, b))
 
 
-def window_hashes(tokens: Column, width: int) -> Column:
+def window_hashes(hashes: Column, width: int) -> Column:
     """Hash of the window at every position, by doubling: two stretches that overlap or meet make one window."""
 
-    def widened(hashes: Column, reach: int) -> Column:
+    def widened(known: Column, reach: int) -> Column:
         if reach == width:
-            return F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - (width - 1), F.lit(0)))
+            return F.slice(known, F.lit(1), F.greatest(F.size(known) - (width - 1), F.lit(0)))
         step = min(reach, width - reach)
-        return bound(_joined(hashes, step), lambda next_: widened(next_, reach + step))
+        return bound(_joined(known, step), lambda wider: widened(wider, reach + step))
 
-    return bound(F.transform(tokens, lambda t: F.xxhash64(t)), lambda hashes: widened(hashes, 1))
+    return bound(hashes, lambda known: widened(known, 1))
 
 
 def explode_forms(df: DataFrame, widths: list[int], *keep: str) -> DataFrame:
     """``position, width, hash`` of the windows in every form beside the kept columns: equal hashes of a
     position once."""
 
+    def at_width(forms: list[Column], width: int) -> Column:
+        def zipped(plain: Column) -> Column:
+            others = [F.coalesce(window_hashes(form, width), plain) for form in forms[1:]]
+            return F.arrays_zip(*[hashes.alias(name) for name, hashes in zip(FORMS, [plain, *others])])
+
+        return bound(window_hashes(forms[0], width), zipped)
+
     def of(marked: Column) -> Column:
-        forms = form_tokens(marked)
-        return F.array(*[
-            bound(
-                window_hashes(forms[0], width),
-                lambda plain: F.arrays_zip(*[
-                    (plain if k == 0 else F.coalesce(window_hashes(form, width), plain)).alias(name)
-                    for k, (name, form) in enumerate(zip(FORMS, forms))
-                ]),
-            )
-            for width in widths
-        ])
+        return bound(F.split(marked, " "), lambda tokens: F.array(*[at_width(token_hashes(tokens, marked), w) for w in widths]))
 
     lists = df.select(*keep, F.posexplode(bound(F.col("marked"), of)).alias("which", "windows"))
     placed = lists.select(*keep, "which", F.posexplode("windows").alias("position", "w")).select(*keep, "which", "position", "w.*")
