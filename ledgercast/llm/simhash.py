@@ -271,15 +271,15 @@ SALT_ROWS = 1024
 PART_ROWS = 4096
 PRINTS = T.StructType(
     [
-        T.StructField("node", T.LongType()), T.StructField("point", T.LongType()), T.StructField("size", T.IntegerType()),
+        T.StructField("identity", T.BinaryType()), T.StructField("point", T.LongType()), T.StructField("size", T.IntegerType()),
         T.StructField("prefix", T.ArrayType(T.LongType())),
     ]
 )
 
 
-def node(words: list[bytes]) -> int:
-    """Identity of a word sequence."""
-    return xxhash.xxh64_intdigest(b" ".join(words), SEED)
+def identity(words: list[bytes]) -> bytes:
+    """Identity of a word sequence, 128 bits."""
+    return xxhash.xxh3_128_digest(b" ".join(words), SEED)
 
 
 def _signed(value: int) -> int:
@@ -311,8 +311,8 @@ def all_prints(hot: np.ndarray, rank: np.ndarray) -> Callable[[Column], Column]:
                 words = byte_words(text)
                 hashes = shingle_hashes(words, SHINGLE)
                 distinct = np.unique(hashes)
-                rows.append((_signed(node(words)), _signed(fold(hashes)), len(distinct), prefix(distinct, hot, rank).view(np.int64)))
-            yield pd.DataFrame(rows, columns=["node", "point", "size", "prefix"])
+                rows.append((identity(words), _signed(fold(hashes)), len(distinct), prefix(distinct, hot, rank).view(np.int64)))
+            yield pd.DataFrame(rows, columns=["identity", "point", "size", "prefix"])
 
     return of
 
@@ -361,6 +361,7 @@ def _prefix_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         sizes = np.diff(np.r_[starts, len(keys)])
         large = (sizes > SMALL_CELL) | salted[starts]
+        cells = np.where(salted, cells, keys)
         row_large, left = np.repeat(large, sizes), np.repeat(sizes, sizes) - (np.arange(len(keys)) - np.repeat(starts, sizes))
         a, b = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
         for step in range(1, SMALL_CELL):
@@ -380,10 +381,10 @@ def _prefix_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield _cell_batch(nodes[row_large], None, cells[row_large], size[row_large], place[row_large])
 
 
-@F.pandas_udf(T.LongType())
-def node_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.pandas_udf(T.BinaryType())
+def identity_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in texts:
-        yield pd.Series(np.array([node(byte_words(t)) for t in batch], dtype=np.uint64).view(np.int64))
+        yield pd.Series([identity(byte_words(t)) for t in batch])
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -392,45 +393,99 @@ def shingle_set(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([np.unique(shingle_hashes(byte_words(t), SHINGLE)).view(np.int64) for t in batch])
 
 
-def similar_links(links: DataFrame, texts: DataFrame) -> DataFrame:
+@F.pandas_udf(T.StructType([T.StructField("size", T.IntegerType()), T.StructField("bits", T.BinaryType())]))
+def shingle_bits(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """Number of distinct shingles, and a bitmap of twice as many bits or more with their low hash bits set."""
+    for batch in texts:
+        rows = []
+        for text in batch:
+            distinct = np.unique(shingle_hashes(byte_words(text), SHINGLE))
+            width = max(64, 1 << int(2 * len(distinct) - 1).bit_length()) if len(distinct) else 64
+            bits = np.zeros(width, dtype=bool)
+            bits[(distinct & np.uint64(width - 1)).astype(np.int64)] = True
+            rows.append((len(distinct), np.packbits(bits, bitorder="little").tobytes()))
+        yield pd.DataFrame(rows, columns=["size", "bits"])
+
+
+def may_be_similar(size_a: int, bits_a: bytes, size_b: int, bits_b: bytes) -> bool:
+    """False only for sets with a similarity below 0.8.
+
+    Each differing bit is an element of one set alone, so no more than half of what is left of both sizes
+    is shared. The wider bitmap is folded to the width of the other.
+    """
+    a, b = sorted((bits_a, bits_b), key=len)
+    x, y, width = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(b)
+    while width > 8 * len(a):
+        width //= 2
+        y = (y >> width) | (y & ((1 << width) - 1))
+    return size_a + size_b >= 9 * (x ^ y).bit_count()
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(*[batch.column(i).to_pylist() for i in range(2, 6)])
+        fit = pa.array([may_be_similar(*row) for row in rows], pa.bool_())
+        yield batch.select(["a", "b"]).filter(fit)
+
+
+def similar_links(links: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The ``links`` (a, b) whose texts share four fifths or more of all their five-word shingles.
 
-    ``texts`` has ``node, text``. A node with very many links meets them in a join whose other side
-    is its one row, so adaptive execution may split it.
+    ``texts_of`` gives ``node, text`` for a table of nodes. Bitmaps sort most pairs out first; whole sets
+    travel only with pairs that may be similar. A node with very many links meets them in a join
+    whose other side is its one row, so adaptive execution may split it.
     """
-    asked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = texts.join(asked, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    sets = staged(sets.select("node", shingle_set("text").alias("shingles")), stage_path(texts.sparkSession, "shingles"))
-    of_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    of_a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+    spark = links.sparkSession
+
+    def of_nodes(pairs: DataFrame, made: Callable[[Column], Column], name: str) -> tuple[DataFrame, DataFrame]:
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = staged(texts_of(asked).select("node", made(F.col("text")).alias("s")), stage_path(spark, name))
+        return tuple(sets.select(F.col("node").alias(side), F.col("s").alias(f"set_{side}")) for side in "ab")
+
+    bits_a, bits_b = of_nodes(links, shingle_bits, "bitmaps")
+    met = links.join(bits_b, "b").join(bits_a, "a")
+    columns = [F.col(f"set_{side}.{c}").alias(f"{c}_{side}") for side in "ab" for c in ("size", "bits")]
+    possible = staged(met.select("a", "b", *columns).mapInArrow(_possible, "a long, b long"), stage_path(spark, "possible"))
+    sets_a, sets_b = of_nodes(possible, shingle_set, "shingles")
     shared = F.size(F.array_intersect("set_a", "set_b"))
     either = F.size("set_a") + F.size("set_b") - shared
-    return links.join(of_b, "b").join(of_a, "a").where(5 * shared >= 4 * either).select("a", "b")
+    return possible.join(sets_b, "b").join(sets_a, "a").where(5 * shared >= 4 * either).select("a", "b")
+
+
+COMPARED = 1 << 21
 
 
 def _rest_of_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All pairs ``node, other`` of a cell that no links join yet. Cells come in parts; a pair of two parts
-    meets in the cell of both."""
+    meets in the cell of both. Sizes that are too far apart are never compared."""
     for keys, nodes, roots, size, place in _pieces(batches, 5):
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
-            for i in range(start, end - 1):
-                later = np.arange(i + 1, end)
-                later = later[roots[later] != roots[i]]
-                fit = later[alike(size, place, np.full(len(later), i), later)]
-                if len(fit):
-                    yield from _pair_batches(np.full(len(fit), nodes[i]), nodes[fit])
-
-
-def prefix_pairs(prints: DataFrame, hot: DataFrame) -> DataFrame:
+            order = start + np.argsort(size[start:end], kind="stable")
+            sizes, left, root = size[order].astype(np.int64), (size[order] - place[order]).astype(np.int64), roots[order]
+            stop = np.searchsorted(4 * sizes, 5 * sizes, side="right")
+            first = 0
+            while first < len(order):
+                last = min(len(order), first + max(1, COMPARED // max(1, int(stop[first]) - first)))
+                until = int(stop[last - 1])
+                i, j = np.arange(first, last)[:, None], np.arange(first, until)[None, :]
+                fit = (j > i) & (root[i] != root[j]) & (9 * np.minimum(left[i], left[j]) >= 4 * (sizes[i] + sizes[j]))
+                fit &= j < stop[i]
+                a, b = np.nonzero(fit)
+                if len(a):
+                    yield from _pair_batches(nodes[order[first + a]], nodes[order[first + b]])
+                first = last
+
+
+def prefix_pairs(nodes: DataFrame, hot: DataFrame) -> DataFrame:
     """Pairs ``node, other`` of texts that share a shingle of their prefixes, and the members ``node, cell,
     size, place`` of large cells. Hot cells are dealt in salted parts."""
-    distinct = prints.groupBy("node").agg(*[F.first(c).alias(c) for c in ("point", "size", "prefix")])
-    members = distinct.select("node", "point", "size", F.posexplode("prefix").alias("place", "cell")).join(F.broadcast(hot), "cell", "left")
+    members = nodes.select("node", "point", "size", F.posexplode("prefix").alias("place", "cell")).join(F.broadcast(hot), "cell", "left")
     parts = F.ceil(F.col("texts") * SAMPLED / SALT_ROWS)
     salted = F.xxhash64("cell", F.pmod(F.xxhash64("node"), parts))
     keyed = members.select(
-        F.when(F.col("texts").isNull(), F.col("cell")).otherwise(salted).alias("key"), "node", "point", "cell", "size", "place",
+        F.when(F.col("texts").isNull(), F.col("cell")).otherwise(salted).alias("key"), "node", "point",
+        F.when(F.col("texts").isNotNull(), F.col("cell")).otherwise(0).alias("cell"), "size", "place",
         F.col("texts").isNotNull().alias("salted"),
     )
     dealt = keyed.repartition("key").sortWithinPartitions("key", "node")
@@ -451,17 +506,17 @@ def rest_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
 
 
-def similar_groups(prints: DataFrame, texts: DataFrame, hot: DataFrame) -> DataFrame:
+def similar_groups(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], hot: DataFrame) -> DataFrame:
     """``node, root`` of texts linked by a similarity of 0.8.
 
     A large cell first joins its members by a tree; then every pair of it that is not in one group yet is
     decided. So a dense group costs its members and no pair is left out.
     """
-    spark = prints.sparkSession
-    met = staged(prefix_pairs(prints, hot), stage_path(spark, "met"))
+    spark = nodes.sparkSession
+    met = staged(prefix_pairs(nodes, hot), stage_path(spark, "met"))
     links = met.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b"))
     links = staged(links.distinct(), stage_path(spark, "links"))
-    similar = staged(similar_links(links, texts), stage_path(spark, "similar"))
+    similar = staged(similar_links(links, texts_of), stage_path(spark, "similar"))
     members = met.where("other IS NULL")
     if members.isEmpty():
         return components(similar)
@@ -469,7 +524,7 @@ def similar_groups(prints: DataFrame, texts: DataFrame, hot: DataFrame) -> DataF
     rest = staged(rest_pairs(members, roots).join(links, ["a", "b"], "left_anti"), stage_path(spark, "rest"))
     if rest.isEmpty():
         return roots
-    more = similar_links(rest, texts)
+    more = similar_links(rest, texts_of)
     return components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(more.select("a", "b")))
 
 
@@ -477,7 +532,8 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without near duplicates, in its own columns: of each group the row with the smallest
     doc_id stays (null ids last), and of equal rows one.
 
-    Texts with the same lower-cased words are one; null and blank texts are all the same text.
+    Texts with the same lower-cased words are one, told by 128 bits; null and blank texts are all the same
+    text. Every distinct text gets a number, written once, which stands for it in links and cells.
     """
     spark = docs.sparkSession
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
@@ -486,14 +542,20 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     cells = common["cell"].to_numpy(dtype=np.int64).view(np.uint64)
     by_hash = np.argsort(cells)
     of_text = all_prints(cells[by_hash], by_hash)
-    prints = staged(docs.select("doc_id", of_text("text").alias("p")).select("doc_id", "p.*"), stage_path(spark, "prints"))
-    rank = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col("node").alias("of"))
-    firsts = prints.groupBy("node").agg(F.min(rank).alias("best"))
-    roots = similar_groups(prints, docs.select(node_of("text").alias("node"), "text"), hot)
-    grouped = firsts.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "best")
-    best = grouped.groupBy("root").agg(F.min("best").alias("best")).select(
-        "root", F.col("best.of").alias("best_node"), F.col("best.id").alias("best_id")
-    )
-    identity = docs.select(row, F.col("doc_id").alias("own_id"), node_of("text").alias("own_node"))
-    same = (F.col("own_node") == F.col("best_node")) & F.col("own_id").eqNullSafe(F.col("best_id"))
-    return identity.join(best, same).groupBy("root").agg(F.first("row").alias("row")).select("row.*")
+    prints = docs.select("doc_id", of_text("text").alias("p")).select("doc_id", "p.*")
+    rank = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"))
+    distinct = prints.groupBy("identity").agg(F.min(rank).alias("best"), *[F.first(c).alias(c) for c in ("point", "size", "prefix")])
+    nodes = staged(distinct.withColumn("node", F.monotonically_increasing_id()), stage_path(spark, "nodes"))
+
+    def texts_of(asked: DataFrame) -> DataFrame:
+        wanted = nodes.join(asked, "node", "left_semi").select("node", "identity")
+        texts = docs.select(identity_of("text").alias("identity"), "text").join(wanted, "identity")
+        return texts.groupBy("node").agg(F.first("text").alias("text"))
+
+    roots = similar_groups(nodes, texts_of, hot)
+    grouped = nodes.select("node", "identity", "best").join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "identity", "best")
+    best = grouped.groupBy("root").agg(F.min(F.struct("best", "identity")).alias("b"))
+    own_key = lambda identity, id: F.concat(F.hex(identity), F.when(id.isNull(), "-").otherwise(F.concat(F.lit("+"), id.cast("string"))))
+    kept = best.select(own_key(F.col("b.identity"), F.col("b.best.id")).alias("own"))
+    mine = docs.select(row, own_key(identity_of("text"), F.col("doc_id")).alias("own"))
+    return mine.join(kept, "own", "left_semi").groupBy("own").agg(F.first("row").alias("row")).select("row.*")

@@ -192,7 +192,7 @@ def test_similarity_of_kept_texts_is_exact(spark):
     assert kept == {1, 3, 4}  # 95 of 105 shingles are shared by 1 and 2, 80 of 120 by 1 and 3
     apart = simhash.similar_links(
         spark.createDataFrame([(1, 2), (1, 3), (1, 4), (2, 3)], "a long, b long"),
-        spark.createDataFrame([(i, t) for i, t, _ in docs], "node long, text string"),
+        lambda asked: spark.createDataFrame([(i, t) for i, t, _ in docs], "node long, text string").join(asked, "node", "left_semi"),
     )
     assert {tuple(r) for r in apart.collect()} == {(1, 2)}
 
@@ -345,3 +345,23 @@ def test_pipeline_keeps_columns_and_runs_whole(spark, sf):
     bad |= {r["doc_id"] for r in queries.op1_decontaminate(spark, sf).collect()}
     assert not bad & {r["doc_id"] for r in out}
     assert max(Counter(r["doc_id"] for r in out).values()) <= 3
+
+
+def test_bitmaps_never_sort_out_a_similar_pair():
+    rng = random.Random(6)
+
+    def sketch(items):
+        width = max(64, 1 << (2 * len(items) - 1).bit_length())
+        bits = np.zeros(width, dtype=bool)
+        bits[[x % width for x in items]] = True
+        return len(items), np.packbits(bits, bitorder="little").tobytes()
+
+    apart = 0
+    for _ in range(400):
+        count = rng.choice([1, 5, 31, 33, 100, 700])
+        a = {rng.getrandbits(64) for _ in range(count)}
+        b = set(rng.sample(sorted(a), rng.randint(0, count))) | {rng.getrandbits(64) for _ in range(rng.randint(0, count // 3))} or {1}
+        verdict = simhash.may_be_similar(*sketch(a), *sketch(b))
+        assert verdict or 5 * len(a & b) < 4 * len(a | b)
+        apart += not verdict
+    assert apart > 100
