@@ -393,88 +393,131 @@ def shingle_set(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([np.unique(shingle_hashes(byte_words(t), SHINGLE)).view(np.int64) for t in batch])
 
 
+SPREAD = 4  # bits of a bitmap for each shingle, at least
+NEAREST = 4
+
+
+def bitmap(distinct: np.ndarray) -> bytes:
+    """A power of two of bits, ``SPREAD`` for each shingle or more, with the low bits of the hashes set."""
+    width = max(64, 1 << int(SPREAD * len(distinct) - 1).bit_length()) if len(distinct) else 64
+    bits = np.zeros(width, dtype=bool)
+    bits[(distinct & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
 @F.pandas_udf(T.StructType([T.StructField("size", T.IntegerType()), T.StructField("bits", T.BinaryType())]))
 def shingle_bits(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Number of distinct shingles, and a bitmap of twice as many bits or more with their low hash bits set."""
+    """Number of distinct shingles and their bitmap."""
     for batch in texts:
-        rows = []
-        for text in batch:
-            distinct = np.unique(shingle_hashes(byte_words(text), SHINGLE))
-            width = max(64, 1 << int(2 * len(distinct) - 1).bit_length()) if len(distinct) else 64
-            bits = np.zeros(width, dtype=bool)
-            bits[(distinct & np.uint64(width - 1)).astype(np.int64)] = True
-            rows.append((len(distinct), np.packbits(bits, bitorder="little").tobytes()))
-        yield pd.DataFrame(rows, columns=["size", "bits"])
+        sets = [np.unique(shingle_hashes(byte_words(text), SHINGLE)) for text in batch]
+        yield pd.DataFrame({"size": [len(x) for x in sets], "bits": [bitmap(x) for x in sets]})
 
 
-def may_be_similar(size_a: int, bits_a: bytes, size_b: int, bits_b: bytes) -> bool:
-    """False only for sets with a similarity below 0.8.
+def differing_bits(bitmaps: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which the bitmaps of each pair differ; the wider one is folded to the width of the other.
 
-    Each differing bit is an element of one set alone, so no more than half of what is left of both sizes
-    is shared. The wider bitmap is folded to the width of the other.
+    Every such bit is an element of one set alone, so sets of a similarity of 0.8 differ in a ninth
+    of both sizes at most.
     """
-    a, b = sorted((bits_a, bits_b), key=len)
-    x, y, width = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(b)
-    while width > 8 * len(a):
-        width //= 2
-        y = (y >> width) | (y & ((1 << width) - 1))
-    return size_a + size_b >= 9 * (x ^ y).bit_count()
+    words = np.fromiter((len(x) // 8 for x in bitmaps), dtype=np.int64, count=len(bitmaps))
+    common = np.minimum(words[a], words[b])
+    out = np.zeros(len(a), dtype=np.int64)
+    for width in np.unique(common).tolist():
+        pairs = np.flatnonzero(common == width)
+        members, at = np.unique(np.concatenate([a[pairs], b[pairs]]), return_inverse=True)
+        table = np.empty((len(members), width), dtype=np.uint64)
+        for row, member in enumerate(members.tolist()):
+            whole = np.frombuffer(bitmaps[member], dtype=np.uint64)
+            table[row] = np.bitwise_or.reduce(whole.reshape(-1, width), axis=0)
+        step = max(1, COMPARED // width)
+        for start in range(0, len(pairs), step):
+            left, right = at[: len(pairs)][start : start + step], at[len(pairs) :][start : start + step]
+            out[pairs[start : start + step]] = np.bitwise_count(table[left] ^ table[right]).sum(axis=1)
+    return out
 
 
 def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = zip(*[batch.column(i).to_pylist() for i in range(2, 6)])
-        fit = pa.array([may_be_similar(*row) for row in rows], pa.bool_())
-        yield batch.select(["a", "b"]).filter(fit)
+        size_a, size_b = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 4))
+        count = batch.num_rows
+        bits = batch.column(3).to_pylist() + batch.column(5).to_pylist()
+        fit = size_a + size_b >= 9 * differing_bits(bits, np.arange(count), count + np.arange(count))
+        yield batch.select(["a", "b"]).filter(pa.array(fit))
+
+
+def _of_nodes(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], made: Callable[[Column], Column], name: str) -> list[DataFrame]:
+    """What ``made`` gives of the texts in ``pairs``, for either side of a pair."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = staged(texts_of(asked).select("node", made(F.col("text")).alias("s")), stage_path(pairs.sparkSession, name))
+    return [sets.select(F.col("node").alias(side), F.col("s").alias(f"set_{side}")) for side in "ab"]
+
+
+def possible_links(links: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The ``links`` (a, b) whose bitmaps leave them a similarity of 0.8."""
+    bits_a, bits_b = _of_nodes(links, texts_of, shingle_bits, "bitmaps")
+    columns = [F.col(f"set_{side}.{c}").alias(f"{c}_{side}") for side in "ab" for c in ("size", "bits")]
+    met = links.join(bits_b, "b").join(bits_a, "a").select("a", "b", *columns)
+    return staged(met.mapInArrow(_possible, "a long, b long"), stage_path(links.sparkSession, "possible"))
 
 
 def similar_links(links: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The ``links`` (a, b) whose texts share four fifths or more of all their five-word shingles.
 
-    ``texts_of`` gives ``node, text`` for a table of nodes. Bitmaps sort most pairs out first; whole sets
-    travel only with pairs that may be similar. A node with very many links meets them in a join
-    whose other side is its one row, so adaptive execution may split it.
+    ``texts_of`` gives ``node, text`` for a table of nodes. Whole sets travel with every link, so bitmaps
+    should have sorted most out before. A node with very many links meets them in a join whose other side
+    is its one row, so adaptive execution may split it.
     """
-    spark = links.sparkSession
-
-    def of_nodes(pairs: DataFrame, made: Callable[[Column], Column], name: str) -> tuple[DataFrame, DataFrame]:
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        sets = staged(texts_of(asked).select("node", made(F.col("text")).alias("s")), stage_path(spark, name))
-        return tuple(sets.select(F.col("node").alias(side), F.col("s").alias(f"set_{side}")) for side in "ab")
-
-    bits_a, bits_b = of_nodes(links, shingle_bits, "bitmaps")
-    met = links.join(bits_b, "b").join(bits_a, "a")
-    columns = [F.col(f"set_{side}.{c}").alias(f"{c}_{side}") for side in "ab" for c in ("size", "bits")]
-    possible = staged(met.select("a", "b", *columns).mapInArrow(_possible, "a long, b long"), stage_path(spark, "possible"))
-    sets_a, sets_b = of_nodes(possible, shingle_set, "shingles")
+    sets_a, sets_b = _of_nodes(links, texts_of, shingle_set, "shingles")
     shared = F.size(F.array_intersect("set_a", "set_b"))
     either = F.size("set_a") + F.size("set_b") - shared
-    return possible.join(sets_b, "b").join(sets_a, "a").where(5 * shared >= 4 * either).select("a", "b")
+    return links.join(sets_b, "b").join(sets_a, "a").where(5 * shared >= 4 * either).select("a", "b")
 
 
 COMPARED = 1 << 21
 
 
-def _rest_of_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs ``node, other`` of a cell that no links join yet. Cells come in parts; a pair of two parts
-    meets in the cell of both. Sizes that are too far apart are never compared."""
-    for keys, nodes, roots, size, place in _pieces(batches, 5):
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
-            order = start + np.argsort(size[start:end], kind="stable")
-            sizes, left, root = size[order].astype(np.int64), (size[order] - place[order]).astype(np.int64), roots[order]
-            stop = np.searchsorted(4 * sizes, 5 * sizes, side="right")
-            first = 0
-            while first < len(order):
-                last = min(len(order), first + max(1, COMPARED // max(1, int(stop[first]) - first)))
-                until = int(stop[last - 1])
-                i, j = np.arange(first, last)[:, None], np.arange(first, until)[None, :]
-                fit = (j > i) & (root[i] != root[j]) & (9 * np.minimum(left[i], left[j]) >= 4 * (sizes[i] + sizes[j]))
-                fit &= j < stop[i]
-                a, b = np.nonzero(fit)
-                if len(a):
-                    yield from _pair_batches(nodes[order[first + a]], nodes[order[first + b]])
-                first = last
+def _nearest(a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Index of the pairs that are among the ``NEAREST`` least apart of one of their members."""
+    of, pair = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
+    order = np.lexsort((pair, np.tile(apart, 2), of))
+    of = of[order]
+    place = np.arange(len(of)) - np.searchsorted(of, of)
+    return np.unique(pair[order[place < NEAREST]])
+
+
+def _rest_of_cells(nearest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs ``node, other`` of a cell that no links join yet and whose sizes, places and bitmaps leave a
+    similarity of 0.8: all, or each member's nearest.
+
+    Cells come in parts; a pair of two parts meets in the cell of both. Sizes that are too far apart
+    are never compared.
+    """
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, nodes, roots, size, place, bits in _pieces(batches, 6):
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+                order = start + np.argsort(size[start:end], kind="stable")
+                sizes, left, root = size[order].astype(np.int64), (size[order] - place[order]).astype(np.int64), roots[order]
+                bitmaps, names = bits[order].tolist(), nodes[order]
+                stop = np.searchsorted(4 * sizes, 5 * sizes, side="right")
+                first = 0
+                while first < len(order):
+                    last = min(len(order), first + max(1, COMPARED // max(1, int(stop[first]) - first)))
+                    i, j = np.arange(first, last)[:, None], np.arange(first, int(stop[last - 1]))[None, :]
+                    fit = (j > i) & (root[i] != root[j]) & (9 * np.minimum(left[i], left[j]) >= 4 * (sizes[i] + sizes[j]))
+                    a, b = np.nonzero(fit & (j < stop[i]))
+                    a, b = first + a, first + b
+                    apart = 9 * differing_bits(bitmaps, a, b) / (sizes[a] + sizes[b])
+                    a, b, apart = a[apart <= 1], b[apart <= 1], apart[apart <= 1]
+                    if nearest:
+                        chosen = _nearest(a, b, apart)
+                        a, b = a[chosen], b[chosen]
+                    if len(a):
+                        yield from _pair_batches(names[a], names[b])
+                    first = last
+
+    return pairs
 
 
 def prefix_pairs(nodes: DataFrame, hot: DataFrame) -> DataFrame:
@@ -492,7 +535,7 @@ def prefix_pairs(nodes: DataFrame, hot: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_prefix_cells, CELL_ROWS_OUT)
 
 
-def rest_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
+def rest_pairs(members: DataFrame, roots: DataFrame, bits: DataFrame, nearest: bool) -> DataFrame:
     """Pairs ``a, b`` of large cells whose members are in different groups so far."""
     rooted = members.join(roots, "node", "left").select("node", "cell", "size", "place", F.coalesce("root", "node").alias("root"))
     rooted = staged(rooted, stage_path(members.sparkSession, "rooted"))
@@ -500,32 +543,42 @@ def rest_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
     open_cells = open_cells.where("least < most").select("cell", F.ceil(F.col("rows") / PART_ROWS).alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts"))
     met = rooted.join(open_cells, "cell").withColumn("part", part).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    keyed = met.select(F.xxhash64("cell", F.least("part", "with"), F.greatest("part", "with")).alias("key"), "node", "root", "size", "place")
+    keyed = met.join(bits, "node").select(
+        F.xxhash64("cell", F.least("part", "with"), F.greatest("part", "with")).alias("key"), "node", "root", "size", "place", "bits"
+    )
     dealt = keyed.repartition("key").sortWithinPartitions("key", "node")
-    pairs = dealt.mapInArrow(_rest_of_cells, CELL_ROWS_OUT)
+    pairs = dealt.mapInArrow(_rest_of_cells(nearest), CELL_ROWS_OUT)
     return pairs.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
 
 
 def similar_groups(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], hot: DataFrame) -> DataFrame:
     """``node, root`` of texts linked by a similarity of 0.8.
 
-    A large cell first joins its members by a tree; then every pair of it that is not in one group yet is
-    decided. So a dense group costs its members and no pair is left out.
+    A large cell first joins its members by a tree, then each to the nearest of other groups; then every
+    pair of it that is not in one group yet is decided. So a dense group costs its members and no
+    pair is left out.
     """
     spark = nodes.sparkSession
     met = staged(prefix_pairs(nodes, hot), stage_path(spark, "met"))
     links = met.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b"))
-    links = staged(links.distinct(), stage_path(spark, "links"))
-    similar = staged(similar_links(links, texts_of), stage_path(spark, "similar"))
+    tried = staged(links.distinct(), stage_path(spark, "links"))
+    similar = staged(similar_links(possible_links(tried, texts_of), texts_of), stage_path(spark, "similar"))
     members = met.where("other IS NULL")
     if members.isEmpty():
         return components(similar)
+    bits = texts_of(members.select("node").distinct()).select("node", shingle_bits("text")["bits"].alias("bits"))
+    bits = staged(bits, stage_path(spark, "bitmaps"))
     roots = staged(components(similar), stage_path(spark, "roots"))
-    rest = staged(rest_pairs(members, roots).join(links, ["a", "b"], "left_anti"), stage_path(spark, "rest"))
-    if rest.isEmpty():
-        return roots
-    more = similar_links(rest, texts_of)
-    return components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(more.select("a", "b")))
+    for nearest in (True, False):
+        rest = rest_pairs(members, roots, bits, nearest).join(tried, ["a", "b"], "left_anti")
+        rest = staged(rest, stage_path(spark, "rest"))
+        if rest.isEmpty():
+            continue
+        more = similar_links(rest, texts_of)
+        edges = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(more.select("a", "b"))
+        roots = staged(components(edges), stage_path(spark, "roots"))
+        tried = tried.union(rest)
+    return roots
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:

@@ -241,9 +241,12 @@ def test_members_a_tree_left_apart_are_paired():
     tree = {(r["node"], r["other"]) for r in met if r["other"] is not None}
     assert len(tree) < count and sorted(r["node"] for r in met if r["other"] is None) == node.tolist()
     root = np.where(node < 3, 0, node)  # what the checks of the tree's pairs joined
-    rows = pa.RecordBatch.from_pydict({"key": cell["key"], "node": node, "root": root, "size": flat, "place": 0 * flat})
-    rest = {(r["node"], r["other"]) for b in simhash._rest_of_cells(iter([rows])) for r in b.to_pylist()}
+    bits = [simhash.bitmap(np.arange(100, dtype=np.uint64))] * count
+    rows = pa.RecordBatch.from_pydict({"key": cell["key"], "node": node, "root": root, "size": flat, "place": 0 * flat, "bits": bits})
+    rest = {(r["node"], r["other"]) for b in simhash._rest_of_cells(False)(iter([rows])) for r in b.to_pylist()}
     assert rest == {(a, b) for a in range(count) for b in range(a + 1, count) if b >= 3}
+    near = {(r["node"], r["other"]) for b in simhash._rest_of_cells(True)(iter([rows])) for r in b.to_pylist()}
+    assert near < rest and {x for pair in near for x in pair} == set(range(count)) and len(near) <= simhash.NEAREST * count
 
 
 def test_templates_catch_changed_numbers_and_names(spark):
@@ -350,18 +353,13 @@ def test_pipeline_keeps_columns_and_runs_whole(spark, sf):
 def test_bitmaps_never_sort_out_a_similar_pair():
     rng = random.Random(6)
 
-    def sketch(items):
-        width = max(64, 1 << (2 * len(items) - 1).bit_length())
-        bits = np.zeros(width, dtype=bool)
-        bits[[x % width for x in items]] = True
-        return len(items), np.packbits(bits, bitorder="little").tobytes()
-
     apart = 0
     for _ in range(400):
         count = rng.choice([1, 5, 31, 33, 100, 700])
         a = {rng.getrandbits(64) for _ in range(count)}
         b = set(rng.sample(sorted(a), rng.randint(0, count))) | {rng.getrandbits(64) for _ in range(rng.randint(0, count // 3))} or {1}
-        verdict = simhash.may_be_similar(*sketch(a), *sketch(b))
+        bits = [simhash.bitmap(np.array(sorted(x), dtype=np.uint64)) for x in (a, b)]
+        verdict = len(a) + len(b) >= 9 * simhash.differing_bits(bits, np.array([0]), np.array([1]))[0]
         assert verdict or 5 * len(a & b) < 4 * len(a | b)
         apart += not verdict
     assert apart > 100
