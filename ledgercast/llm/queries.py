@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgercast.llm import (
-    decontaminate, lm_score, mixing, quality, sharding, simhash, substring_dedup, token_files, token_prefix, url_filter,
+    decontaminate, embedding_dedup, lm_score, mixing, quality, sharding, simhash, substring_dedup, token_files, token_prefix, url_filter,
 )
 
 
@@ -99,6 +99,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mix_sources": op2_mix_sources,
@@ -110,6 +114,7 @@ QUERIES = {
     "op8_token_prefix": op8_token_prefix,
     "op9_huffman_tokens": op9_huffman_tokens,
     "op10_quality_rules": op10_quality_rules,
+    "op13_embedding_groups": op13_embedding_groups,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
