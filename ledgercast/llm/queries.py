@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgercast.llm import (
-    decontaminate, embedding_dedup, lm_score, mixing, quality, sharding, simhash, substring_dedup, token_files, token_prefix, url_filter,
+    decontaminate, embedding_dedup, lm_score, mixing, periodic, quality, sharding, simhash, substring_dedup, token_files, token_prefix, url_filter,
+    words as words_module,
 )
 
 
@@ -99,6 +100,42 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_cycles(docs: DataFrame) -> DataFrame:
+    """The documents, those that a hash of their id picks with a cycle of their own words from some word on."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+
+    def turned(words: Column) -> Column:
+        count = F.size(words).cast("long")
+        start = g % count
+        period = 1 + F.floor((count - start) / (3 + g % 8))
+        at = lambda i: F.when(i < start, i).otherwise(start + (i - start) % period).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), count - 1), lambda i: F.get(words, at(i))), " ")
+
+    words = F.regexp_extract_all("text", F.lit(words_module.WORD), F.lit(0))
+    picked = (h % 10 == 0) & F.coalesce(F.col("text").rlike(words_module.WORD), F.lit(False))
+    return docs.select("doc_id", F.when(picked, decontaminate.bound(words, turned)).otherwise(F.col("text")).alias("text"))
+
+
+def run_digest(docs: DataFrame) -> DataFrame:
+    """The greatest run and digests of all runs and of the collapsed text."""
+    ledger = periodic.run_ledger(with_cycles(docs))
+    order = F.transform("runs", lambda r: F.struct((-r["length"]).alias("least"), r["start"].alias("start"), r["period"].alias("period")))
+    best = F.array_min(order)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))), "\n")
+    found = ledger.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.least")).alias("length"),
+        F.col("best.period").alias("period"), F.floor(-1000 * F.col("best.least") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(table(spark, sf_dir, "documents"))
+
+
 def op13_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_groups(table(spark, sf_dir, "embeddings"))
 
@@ -114,6 +151,7 @@ QUERIES = {
     "op8_token_prefix": op8_token_prefix,
     "op9_huffman_tokens": op9_huffman_tokens,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_embedding_groups": op13_embedding_groups,
 }
 
