@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgercast.llm import (
-    decontaminate, embedding_dedup, lm_score, mixing, periodic, quality, sharding, simhash, substring_dedup, token_files, token_prefix, url_filter,
+    decontaminate, embedding_dedup, lm_score, mixing, periodic, quality, sharding, simhash, spelling, substring_dedup, token_files, token_prefix, url_filter,
     words as words_module,
 )
 
@@ -136,6 +138,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digest(table(spark, sf_dir, "documents"))
 
 
+def misspelt(doc_id: object, word: str) -> str:
+    """The word without one letter, in one of 199 places that a hash picks."""
+    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+    return word if h % 199 else word[: h % len(word)] + word[h % len(word) + 1 :]
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), misspelt)
+
+
 def op13_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_groups(table(spark, sf_dir, "embeddings"))
 
@@ -152,6 +164,7 @@ QUERIES = {
     "op9_huffman_tokens": op9_huffman_tokens,
     "op10_quality_rules": op10_quality_rules,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_embedding_groups": op13_embedding_groups,
 }
 
