@@ -269,12 +269,8 @@ HOT_SHINGLES = 100_000
 SMALL_CELL = 16
 SALT_ROWS = 1024
 PART_ROWS = 4096
-PRINTS = T.StructType(
-    [
-        T.StructField("identity", T.BinaryType()), T.StructField("point", T.LongType()), T.StructField("size", T.IntegerType()),
-        T.StructField("prefix", T.ArrayType(T.LongType())),
-    ]
-)
+SLICE = 256  # texts whose shingles are held at once
+PRINTS = "identity binary, point long, size int, prefix array<long>"
 
 
 def identity(words: list[bytes]) -> bytes:
@@ -300,27 +296,54 @@ def prefix(shingles: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> np.ndarra
     return np.concatenate([shingles[~is_hot], hot[last[np.argsort(rank[last])]]])[:count]
 
 
-def all_prints(hot: np.ndarray, rank: np.ndarray) -> Callable[[Column], Column]:
-    """Identity of the word sequence, SimHash of its five-word shingles, their number and prefix."""
+def _by_slices(make: Callable[[list, list[str | None]], list[pa.Array]], names: list[str]):
+    """``make`` of the kept columns and the texts (the last column), some rows at a time."""
 
-    @F.pandas_udf(PRINTS)
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in texts:
-            rows = []
-            for text in batch:
-                words = byte_words(text)
-                hashes = shingle_hashes(words, SHINGLE)
-                distinct = np.unique(hashes)
-                rows.append((identity(words), _signed(fold(hashes)), len(distinct), prefix(distinct, hot, rank).view(np.int64)))
-            yield pd.DataFrame(rows, columns=["identity", "point", "size", "prefix"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, SLICE):
+                part = batch.slice(first, SLICE)
+                *kept, texts = part.columns
+                yield pa.RecordBatch.from_arrays(make(kept, texts.to_pylist()), names)
+
+    return run
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    values = np.concatenate([np.empty(0, dtype=np.uint64), *arrays]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
+def all_prints(docs: DataFrame, hot: np.ndarray, rank: np.ndarray) -> DataFrame:
+    """``doc_id``, identity of the word sequence, SimHash of its five-word shingles, their number and prefix."""
+
+    def make(kept: list, texts: list[str | None]) -> list[pa.Array]:
+        words = [byte_words(t) for t in texts]
+        hashes = [shingle_hashes(w, SHINGLE) for w in words]
+        distinct = [np.unique(h) for h in hashes]
+        return [
+            *kept, pa.array([identity(w) for w in words], pa.binary()), pa.array([_signed(fold(h)) for h in hashes], pa.int64()),
+            pa.array([len(d) for d in distinct], pa.int32()), _lists([prefix(d, hot, rank) for d in distinct]),
+        ]
+
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(PRINTS).fields])
+    return docs.select("doc_id", "text").mapInArrow(_by_slices(make, schema.names), schema)
+
+
+def _cells(kept: list, texts: list[str | None]) -> list[pa.Array]:
+    return [_lists(text_sets(texts)).flatten()]
 
-    return of
+
+def text_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """Sorted distinct shingles of each text."""
+    return [np.unique(shingle_hashes(byte_words(t), SHINGLE)) for t in texts]
 
 
 def hot_shingles(docs: DataFrame) -> DataFrame:
     """``cell, texts``: the commonest shingles by a count over a sample of the distinct texts."""
     sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0).select("text").distinct()
-    counted = sample.select(F.explode(shingle_set("text")).alias("cell")).groupBy("cell").agg(F.count("*").alias("texts"))
+    counted = sample.mapInArrow(_by_slices(_cells, ["cell"]), "cell long").groupBy("cell").agg(F.count("*").alias("texts"))
     return counted.where(F.col("texts") >= HOT).orderBy(F.desc("texts"), "cell").limit(HOT_SHINGLES)
 
 
@@ -387,12 +410,6 @@ def identity_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([identity(byte_words(t)) for t in batch])
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def shingle_set(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in texts:
-        yield pd.Series([np.unique(shingle_hashes(byte_words(t), SHINGLE)).view(np.int64) for t in batch])
-
-
 SPREAD = 4  # bits of a bitmap for each shingle, at least
 NEAREST = 4
 
@@ -405,12 +422,23 @@ def bitmap(distinct: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-@F.pandas_udf(T.StructType([T.StructField("size", T.IntegerType()), T.StructField("bits", T.BinaryType())]))
-def shingle_bits(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Number of distinct shingles and their bitmap."""
-    for batch in texts:
-        sets = [np.unique(shingle_hashes(byte_words(text), SHINGLE)) for text in batch]
-        yield pd.DataFrame({"size": [len(x) for x in sets], "bits": [bitmap(x) for x in sets]})
+def _with_bits(kept: list, texts: list[str | None]) -> list[pa.Array]:
+    sets = text_sets(texts)
+    return [*kept, pa.array([len(x) for x in sets], pa.int32()), pa.array([bitmap(x) for x in sets], pa.binary())]
+
+
+def _with_sets(kept: list, texts: list[str | None]) -> list[pa.Array]:
+    return [*kept, _lists(text_sets(texts))]
+
+
+def shingle_bits(texts: DataFrame) -> DataFrame:
+    """``node, size, bits``: number of distinct shingles and their bitmap."""
+    return texts.select("node", "text").mapInArrow(_by_slices(_with_bits, ["node", "size", "bits"]), "node long, size int, bits binary")
+
+
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """``node, shingles``: the distinct shingles."""
+    return texts.select("node", "text").mapInArrow(_by_slices(_with_sets, ["node", "shingles"]), "node long, shingles array<long>")
 
 
 def differing_bits(bitmaps: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -445,18 +473,17 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(fit))
 
 
-def _of_nodes(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], made: Callable[[Column], Column], name: str) -> list[DataFrame]:
-    """What ``made`` gives of the texts in ``pairs``, for either side of a pair."""
+def _of_nodes(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], made: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
+    """What ``made`` gives of the texts in ``pairs``, written once, with its columns named for either side."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = staged(texts_of(asked).select("node", made(F.col("text")).alias("s")), stage_path(pairs.sparkSession, name))
-    return [sets.select(F.col("node").alias(side), F.col("s").alias(f"set_{side}")) for side in "ab"]
+    rows = staged(made(texts_of(asked)), stage_path(pairs.sparkSession, made.__name__.replace("_", "-")))
+    return [rows.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in rows.columns[1:]]) for side in "ab"]
 
 
 def possible_links(links: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The ``links`` (a, b) whose bitmaps leave them a similarity of 0.8."""
-    bits_a, bits_b = _of_nodes(links, texts_of, shingle_bits, "bitmaps")
-    columns = [F.col(f"set_{side}.{c}").alias(f"{c}_{side}") for side in "ab" for c in ("size", "bits")]
-    met = links.join(bits_b, "b").join(bits_a, "a").select("a", "b", *columns)
+    bits_a, bits_b = _of_nodes(links, texts_of, shingle_bits)
+    met = links.join(bits_b, "b").join(bits_a, "a").select("a", "b", "size_a", "bits_a", "size_b", "bits_b")
     return staged(met.mapInArrow(_possible, "a long, b long"), stage_path(links.sparkSession, "possible"))
 
 
@@ -467,9 +494,9 @@ def similar_links(links: DataFrame, texts_of: Callable[[DataFrame], DataFrame])
     should have sorted most out before. A node with very many links meets them in a join whose other side
     is its one row, so adaptive execution may split it.
     """
-    sets_a, sets_b = _of_nodes(links, texts_of, shingle_set, "shingles")
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    either = F.size("set_a") + F.size("set_b") - shared
+    sets_a, sets_b = _of_nodes(links, texts_of, shingle_sets)
+    shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    either = F.size("shingles_a") + F.size("shingles_b") - shared
     return links.join(sets_b, "b").join(sets_a, "a").where(5 * shared >= 4 * either).select("a", "b")
 
 
@@ -566,8 +593,7 @@ def similar_groups(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame],
     members = met.where("other IS NULL")
     if members.isEmpty():
         return components(similar)
-    bits = texts_of(members.select("node").distinct()).select("node", shingle_bits("text")["bits"].alias("bits"))
-    bits = staged(bits, stage_path(spark, "bitmaps"))
+    bits = staged(shingle_bits(texts_of(members.select("node").distinct())).select("node", "bits"), stage_path(spark, "bitmaps"))
     roots = staged(components(similar), stage_path(spark, "roots"))
     for nearest in (True, False):
         rest = rest_pairs(members, roots, bits, nearest).join(tried, ["a", "b"], "left_anti")
@@ -594,8 +620,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     common = hot.orderBy("texts", "cell").toPandas()  # at most HOT_SHINGLES rows
     cells = common["cell"].to_numpy(dtype=np.int64).view(np.uint64)
     by_hash = np.argsort(cells)
-    of_text = all_prints(cells[by_hash], by_hash)
-    prints = docs.select("doc_id", of_text("text").alias("p")).select("doc_id", "p.*")
+    prints = all_prints(docs, cells[by_hash], by_hash)
     rank = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"))
     distinct = prints.groupBy("identity").agg(F.min(rank).alias("best"), *[F.first(c).alias(c) for c in ("point", "size", "prefix")])
     nodes = staged(distinct.withColumn("node", F.monotonically_increasing_id()), stage_path(spark, "nodes"))
