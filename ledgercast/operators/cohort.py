@@ -99,3 +99,31 @@ def in_sample(fraction: float, seed: int, hash_kind: str = "murmur3") -> Column:
 
 def sample_rows(df: DataFrame, fraction: float, seed: int, hash_kind: str = "murmur3") -> DataFrame:
     return df.where(in_sample(fraction, seed, hash_kind))
+
+
+HASH_BITS, STEP_BITS = 64, 16
+
+
+def bottom_rows(df: DataFrame, most: int, seed: int) -> DataFrame:
+    """The ``most`` rows with the smallest hashes of seed, month and client: the same under any partitioning.
+
+    All rows where there are no more. The limit on the hash is found from counts per stretch of hashes, 65,536
+    of them, and of the stretch where ``most`` is passed anew, four times at worst. Rows that share client and
+    month, and so the hash, are taken together or not at all, so the sample can be smaller by such a group.
+    """
+    hashed = F.xxhash64(F.lit(seed), "report_dt", "epk_id")
+    taken, low, shift = 0, None, HASH_BITS - STEP_BITS
+    while True:
+        stretch = F.shiftright(hashed, shift)
+        inside = df if low is None else df.where(F.shiftright(hashed, shift + STEP_BITS) == low)
+        counts = inside.groupBy(stretch.alias("stretch")).count().orderBy("stretch").collect()  # at most 65,536 rows
+        for row in counts:
+            if taken + row["count"] > most:
+                break
+            taken += row["count"]
+        else:
+            return df if low is None else df.where(F.shiftright(hashed, shift + STEP_BITS) <= low)
+        low = row["stretch"]
+        if shift == 0 or taken == most:
+            return df.where(F.shiftright(hashed, shift) < low)
+        shift -= STEP_BITS

@@ -16,18 +16,20 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from ledgercast.operators.cohort import in_sample, sample_rows, validation_rows
+from ledgercast.operators.cohort import bottom_rows, in_sample, validation_rows
+from ledgercast.operators.ensembles import prefix_scores, saved_nodes
 from ledgercast.operators.evaluate import as_long, classification_metrics, regression_metrics
 from ledgercast.operators.targets import segment, target
 from ledgercast.session import shared_folder
 from ledgercast.sources.local_table import local_table
 
 VECTOR = "all_features"
+UNION = "features_of_all_models"
 LABEL = "label"
 TOTAL = "AllProducts"
 
@@ -88,9 +90,12 @@ def all_models(products: list[str], **options) -> list[ModelSpec]:
 
 @dataclass(frozen=True)
 class SearchSettings:
-    """Sizes of the selection, the search and the refit. The defaults are fixed values."""
+    """Sizes of the selection, the search and the refit. The defaults are fixed values.
 
-    sample: float = 0.1
+    ``sample_rows`` bounds the rows of a segment that features and parameters are chosen on.
+    """
+
+    sample_rows: int = 200_000
     selection_seed: int = 23
     search_seed: int = 46
     keep_features: int = 300
@@ -204,20 +209,16 @@ def boosted(spec: ModelSpec, s: SearchSettings):
     return _named(GBTRegressor(seed=s.seed, lossType=loss), spec)
 
 
-def grid(estimator, s: SearchSettings) -> list[dict]:
-    return [
-        {estimator.maxDepth: d, estimator.stepSize: step, estimator.maxIter: n}
-        for d, step, n in combinations(s.depths, s.steps, s.iterations)
-    ]
+def grid(s: SearchSettings) -> list[dict]:
+    """All points of the search, in the order that decides ties."""
+    return [{"maxDepth": d, "stepSize": step, "maxIter": n} for d, step, n in combinations(s.depths, s.steps, s.iterations)]
 
 
-def _evaluator(spec: ModelSpec):
+def _evaluator(spec: ModelSpec, score: str):
     if spec.kind == "classification":
-        return BinaryClassificationEvaluator(
-            rawPredictionCol=f"{spec.predict}_raw", labelCol=LABEL, metricName="areaUnderPR", numBins=0
-        )
+        return BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=LABEL, metricName="areaUnderPR", numBins=0)
     name = "mae" if spec.loss == "mae" else "rmse"
-    return RegressionEvaluator(labelCol=LABEL, predictionCol=spec.predict, metricName=name)
+    return RegressionEvaluator(labelCol=LABEL, predictionCol=score, metricName=name)
 
 
 @contextmanager
@@ -239,36 +240,65 @@ def _vectors(df: DataFrame, features: list[str], spec: ModelSpec) -> DataFrame:
 # -- fit -----------------------------------------------------------------------------------------
 
 
-def some_rows(train: DataFrame, share: float, seed: int) -> DataFrame:
-    """The sample to fit on; all rows where the sample of a small segment is empty or has one client."""
-    sample = sample_rows(train, share, seed)
-    return sample if len(sample.select("epk_id").take(2)) == 2 else train
+def some_rows(train: DataFrame, most: int, seed: int) -> DataFrame:
+    """The sample to fit on: the ``most`` rows with the smallest hashes, all rows of a segment that has no more."""
+    return bottom_rows(train, most, seed)
 
 
 def rf_importance(train: DataFrame, features: list[str], spec: ModelSpec, s: SearchSettings) -> DataFrame:
     """Importance of every feature in a shallow forest on a sample."""
-    rows = _vectors(some_rows(train, s.sample, s.selection_seed), features, spec)
+    rows = _vectors(some_rows(train, s.sample_rows, s.selection_seed), features, spec)
     fitted = forest(spec, s, s.forest_depth, s.forest_features, s.forest_rows).fit(rows)
     return feature_importance_table(train.sparkSession, features, fitted.featureImportances.toArray())
 
 
-def gbt_search(rows: DataFrame, spec: ModelSpec, s: SearchSettings):
-    """Best boosted model over the grid, fitted on all given rows, with its parameters."""
+def search_scores(train: DataFrame, test: DataFrame, spec: ModelSpec, s: SearchSettings) -> list[tuple[dict, float]]:
+    """Every point of the grid with its measure on ``test``.
+
+    A boosted ensemble's first rounds are the ensemble of fewer rounds, so one fit answers all points
+    that differ in their rounds alone: its nodes are read as a table and summed up to each of them.
+    """
     estimator = boosted(spec, s)
-    maps = grid(estimator, s)
-    evaluator = _evaluator(spec)
-    best = maps[0]
-    if len(maps) > 1:
+    rounds = sorted(set(s.iterations))
+    stems = [
+        {estimator.maxDepth: d, estimator.stepSize: step, estimator.maxIter: rounds[-1]} for d, step in combinations(s.depths, s.steps)
+    ]
+    found: dict[tuple, float] = {}
+    for i, model in estimator.fitMultiple(train, stems):
+        with kept(prefix_scores(test, VECTOR, saved_nodes(model), rounds, [LABEL])) as scored:
+            for k, n in enumerate(rounds):
+                value = _evaluator(spec, "score").evaluate(scored.select(LABEL, F.col("after")[k].alias("score")))
+                found[stems[i][estimator.maxDepth], stems[i][estimator.stepSize], n] = value
+    return [(point, found[point["maxDepth"], point["stepSize"], point["maxIter"]]) for point in grid(s)]
+
+
+def best_point(scores: list[tuple[dict, float]], larger: bool) -> dict:
+    """The best of the grid's points; equal measures, up to rounding, go to the first."""
+    sign = -1 if larger else 1
+    return min(scores, key=lambda pair: sign * float(f"{pair[1]:.10g}"))[0]
+
+
+def gbt_search(rows: DataFrame, spec: ModelSpec, s: SearchSettings):
+    """Best boosted model over the grid, fitted on all given rows, with its parameters.
+
+    ``grid_points`` among them tells how many points were measured: one, unmeasured, where a fold of the
+    rows has a single label.
+    """
+    points = grid(s)
+    best, measured = points[0], 1
+    if len(points) > 1:
         fits = in_sample(s.train_share, s.seed)
         train, test = rows.where(fits), rows.where(~fits)
         labels = F.count_distinct(LABEL)
-        if train.agg(labels).first()[0] < 2 or test.agg(labels).first()[0] < 2:
-            maps = maps[:1]
-    if len(maps) > 1:
-        scores = {i: evaluator.evaluate(m.transform(test)) for i, m in estimator.fitMultiple(train, maps)}
-        pick = max if evaluator.isLargerBetter() else min
-        best = maps[pick(scores, key=scores.get)]
-    return estimator.fit(rows, best), {param.name: value for param, value in best.items()}
+        if train.agg(labels).first()[0] > 1 and test.agg(labels).first()[0] > 1:
+            best = best_point(search_scores(train, test, spec, s), _evaluator(spec, "score").isLargerBetter())
+            measured = len(points)
+    return _with_params(boosted(spec, s), best).fit(rows), {**best, "grid_points": measured}
+
+
+def _with_params(estimator, params: dict):
+    known = {estimator.getParam(name): value for name, value in params.items() if estimator.hasParam(name)}
+    return estimator.copy(known)
 
 
 def model_metrics(predicted: DataFrame, spec: ModelSpec, scope: str) -> DataFrame:
@@ -324,7 +354,7 @@ def fit_model(dataset: DataFrame, features: list[str], spec: ModelSpec, s: Searc
     wide = rf_importance(train, features, spec, s)
     chosen = [r["feature"] for r in top_features(wide, s.keep_features).collect()]
 
-    sample = some_rows(train, s.sample, s.search_seed)
+    sample = some_rows(train, s.sample_rows, s.search_seed)
     with kept(_vectors(sample, chosen, spec)) as searched:
         if spec.family == "gb":
             first, params = gbt_search(searched, spec, s)
@@ -336,8 +366,7 @@ def fit_model(dataset: DataFrame, features: list[str], spec: ModelSpec, s: Searc
     short = [r["feature"] for r in importance_cutoff(importances, s.cutoff_features).orderBy(F.desc("importance"), "feature").collect()]
 
     if spec.family == "gb":
-        estimator = boosted(spec, s)
-        estimator = estimator.copy({estimator.getParam(name): value for name, value in params.items()})
+        estimator = _with_params(boosted(spec, s), params)
     else:
         estimator = forest(spec, s, s.refit_depth, "0.9", s.forest_rows)
     with kept(_vectors(rows if s.refit_on_all and spec.family == "gb" else train, short, spec)) as refit_rows:
@@ -371,8 +400,17 @@ def predict_one(dataset: DataFrame, spec: ModelSpec, model: PipelineModel) -> Da
 
 
 def predict_all(dataset: DataFrame, models: dict[ModelSpec, PipelineModel], keep: list[str]) -> DataFrame:
-    """Scores of every model beside the kept columns; map-side throughout."""
-    out = dataset
+    """Scores of every model beside the kept columns; map-side throughout.
+
+    The features of all models are assembled once; each model reads its own slice of that vector.
+    """
+    assembled = {spec: m.stages[0].getInputCols() for spec, m in models.items() if isinstance(m.stages[0], VectorAssembler)}
+    union = list(dict.fromkeys(c for columns in assembled.values() for c in columns))
+    place = {c: i for i, c in enumerate(union)}
+    out = assemble_features(dataset, union, UNION) if union else dataset
     for spec, model in models.items():
+        if spec in assembled:
+            slicer = VectorSlicer(inputCol=UNION, outputCol=VECTOR, indices=[place[c] for c in assembled[spec]])
+            model = PipelineModel(stages=[slicer, *model.stages[1:]])
         out = predict_one(out, spec, model)
     return out.select(*[f"`{c}`" for c in keep], *[f"`{spec.score}`" for spec in models])

@@ -14,7 +14,7 @@ from ledgercast.functions.bucket import client_bucket
 from ledgercast.functions.calendar import month_end_offset, report_months_window
 from ledgercast.functions.trend import history_columns
 from ledgercast.operators import calibration as C, cohort as H, combine as K, dataset as S
-from ledgercast.operators import evaluate as E, ledger as L, models as M, profile as P, targets as T
+from ledgercast.operators import ensembles as EN, evaluate as E, ledger as L, models as M, profile as P, targets as T
 from ledgercast.plans import fixtures as fx, jobs as J
 from ledgercast.plans.cohort_plan import CohortPlan
 from ledgercast.session import stage_path
@@ -738,7 +738,7 @@ MODEL_DIMS = Dimensions(
     products={"Card": tuple(range(1, 13)), "Loan": tuple(range(13, 26))}, items=fx.DIMENSIONS.items
 )
 MODEL_SETTINGS = M.SearchSettings(
-    sample=1.0, forest_trees=5, forest_depth=3, forest_rows=1.0, depths=(2,), steps=(0.1,), iterations=(3,),
+    forest_trees=5, forest_depth=3, forest_rows=1.0, depths=(2,), steps=(0.1,), iterations=(3,),
     refit_depth=3, cutoff_features=20, keep_features=60,
 )
 _TRAINED: dict[tuple[str, str], tuple] = {}
@@ -862,6 +862,16 @@ def score_clients(spark, sf):
     return SG.stage_read(spark, path)
 
 
+@query
+def ensemble_scores(spark, sf):
+    wide = fx.outcomes_wide(spark, sf)
+    rows = wide.select(*KEYS, F.array(*[F.col(f"`{T.now(p)}`") for p in PRODUCTS]).alias("x"))
+    sums = EN.tree_sums(rows, "x", fx.ensemble(spark), KEYS)
+    total, trees = F.col("total"), F.col("trees")
+    scores = sums.select(*KEYS, total, EN.boosted_score(total, True).alias("chance"), EN.forest_score(total, trees).alias("mean"), trees)
+    return rounded(scores, 9, "chance", "mean")
+
+
 # -- composite jobs ------------------------------------------------------------------------------
 
 

@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgercast.dimensions import Dimensions
 from ledgercast.functions.money import MONEY
+from ledgercast.operators.ensembles import LEAF, NODES
 from ledgercast.operators.evaluate import by_product
 from ledgercast.operators.ledger import cohort_rows, product_outcomes
 from ledgercast.operators.targets import now, sale_flags, target, total_of
 from ledgercast.plans.cohort_plan import CohortPlan, CohortSettings, ScoringSettings
 from ledgercast.sources.ledger import scan_ledger
+from ledgercast.sources.local_table import local_table
 
 DIMENSIONS = Dimensions(
     products={
@@ -158,3 +160,17 @@ def scores(spark: SparkSession, sf_dir: str, coarse: bool = False) -> DataFrame:
         columns[f"{p}_poor_pl_predict"] = share * 100
     columns["AllProducts_total_pl_predict"] = F.col("`total_pl_-1`") * 12
     return outcomes_wide(spark, sf_dir).withColumns(columns)
+
+
+TREES, LEVELS = 12, 3
+
+
+def ensemble(spark: SparkSession) -> DataFrame:
+    """Nodes of an ensemble made by rule over the products' P&L: whole trees of three levels."""
+    inner, nodes = 2**LEVELS - 1, []
+    for t in range(TREES):
+        for n in range(2 * inner + 1):
+            split = ((3 * t + 5 * n) % len(PRODUCTS), ((31 * t + 17 * n) % 13 - 6) * 500.0, 2 * n + 1, 2 * n + 2)
+            value, weight = ((7 * t + 3 * n) % 11 - 5) * 0.25, 0.5 if t else 1.0
+            nodes.append((t, n, *(split if n < inner else (LEAF, None, LEAF, LEAF)), value, weight))
+    return local_table(spark, nodes, NODES)

@@ -665,6 +665,21 @@ ORACLE: dict[str, str] = {
         """SELECT epk_id, report_dt FROM profile
            WHERE ('0x' || substr(md5('23|' || CAST(report_dt AS VARCHAR) || '|' || CAST(epk_id AS VARCHAR)), 1, 8))::BIGINT % 10000 < 1000"""
     ),
+    "ensemble_scores": sql(
+        """SELECT epk_id, report_dt, sum(value * weight) AS total, round(1 / (1 + exp(-2 * sum(value * weight))), 9) AS chance,
+                  round(sum(value * weight) / count(*), 9) AS mean, count(*) AS trees
+           FROM level3 JOIN nodes USING (tree, node) GROUP BY epk_id, report_dt""",
+        nodes=f"""SELECT tree, node, (3 * tree + 5 * node) % {len(P)} AS feature, ((31 * tree + 17 * node) % 13 - 6) * 500.0::DOUBLE AS threshold,
+                  ((7 * tree + 3 * node) % 11 - 5) * 0.25::DOUBLE AS value, CASE WHEN tree = 0 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END AS weight
+                  FROM range({fx.TREES}) t(tree), range({2 ** (fx.LEVELS + 1) - 1}) n(node)""",
+        level0=f"""SELECT epk_id, report_dt, [{", ".join(f'"{p}_pl_-1"' for p in P)}] AS x, tree, 0::BIGINT AS node
+                   FROM outcomes, range({fx.TREES}) t(tree)""",
+        **{
+            f"level{k}": f"""SELECT l.epk_id, l.report_dt, l.x, l.tree, 2 * l.node + CASE WHEN x[feature + 1] <= threshold THEN 1 ELSE 2 END AS node
+                             FROM level{k - 1} l JOIN nodes n ON l.tree = n.tree AND l.node = n.node"""
+            for k in range(1, fx.LEVELS + 1)
+        },
+    ),
     "pnl_features": sql(wide_features(True)),
     "pnl_dataset": sql(wide_features(False)),
     "profile_fit": sql(

@@ -10,7 +10,7 @@ from ledgercast.sources.stages import model_load, model_save
 
 FEATURES = ["f0", "f1", "f2"]
 SMALL = M.SearchSettings(
-    sample=1.0, forest_trees=3, forest_depth=2, forest_rows=1.0, depths=(2,), steps=(0.1,), iterations=(2, 4),
+    forest_trees=3, forest_depth=2, forest_rows=1.0, depths=(2,), steps=(0.1,), iterations=(2, 4),
     refit_depth=3, cutoff_features=2, keep_features=2,
 )
 

@@ -52,7 +52,7 @@ def test_train_then_score_from_a_settings_file(spark, sf, tmp_path):
     settings = run.RunSettings.read(str(tmp_path / "run.cfg"))
     assert settings.training.history == 3 and settings.scoring.predict == 0 and settings.sample is None
     search = SearchSettings(
-        sample=1.0, forest_trees=3, forest_depth=2, forest_rows=1.0, depths=(2,), steps=(0.1,), iterations=(2,),
+        forest_trees=3, forest_depth=2, forest_rows=1.0, depths=(2,), steps=(0.1,), iterations=(2,),
         cutoff_features=10, keep_features=20,
     )
     report = run.run_training(spark, settings, search)
