@@ -377,13 +377,42 @@ def fit_model(dataset: DataFrame, features: list[str], spec: ModelSpec, s: Searc
     return FittedModel(spec, pipeline, short, before.union(after), table, params)
 
 
+class FitsFailed(RuntimeError):
+    """Some fits of a run failed; the others are finished, and in the run's ledger if it has one."""
+
+    def __init__(self, errors: dict[str, Exception], finished: list[FittedModel]):
+        super().__init__("; ".join(f"{name}: {error}" for name, error in errors.items()))
+        self.errors, self.finished = errors, finished
+
+
 def fit_models(
-    dataset: DataFrame, features: list[str], specs: list[ModelSpec], s: SearchSettings = SearchSettings()
+    dataset: DataFrame, features: list[str], specs: list[ModelSpec], s: SearchSettings = SearchSettings(), ledger=None
 ) -> list[FittedModel]:
-    """Fit independent models, a few at a time: a small segment alone leaves a cluster idle."""
-    fit = inheritable_thread_target(dataset.sparkSession)(lambda spec: fit_model(dataset, features, spec, s))
+    """Fit independent models, a few at a time: a small segment alone leaves a cluster idle.
+
+    With a ledger, fits that an earlier run finished are read, and every new one is committed as soon
+    as it is made. A fit that fails does not stop the others; all failures are raised together at the end.
+    """
+
+    def made(spec: ModelSpec) -> FittedModel | Exception:
+        try:
+            known = ledger.find(spec, features, s) if ledger else None
+            if known:
+                return known
+            fitted = fit_model(dataset, features, spec, s)
+            if ledger:
+                ledger.commit(fitted, features, s)
+            return fitted
+        except Exception as error:  # reported with the others below
+            return error
+
     with ThreadPool(min(s.parallel_fits, len(specs))) as pool:
-        return pool.map(fit, specs, chunksize=1)
+        results = pool.map(inheritable_thread_target(dataset.sparkSession)(made), specs, chunksize=1)
+    errors = {spec.id: r for spec, r in zip(specs, results) if isinstance(r, Exception)}
+    finished = [r for r in results if not isinstance(r, Exception)]
+    if errors:
+        raise FitsFailed(errors, finished)
+    return finished
 
 
 # -- predict -------------------------------------------------------------------------------------

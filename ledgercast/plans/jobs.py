@@ -30,6 +30,7 @@ from ledgercast.operators.models import (
 from ledgercast.operators.profile import ProfileParams, fit_params, profile_feature_groups, profile_transform
 from ledgercast.operators.targets import drop_targets, now, pnl_dataset, scoring_total_naive, target
 from ledgercast.plans.cohort_plan import CohortPlan
+from ledgercast.plans.fit_ledger import FitLedger, read_specs, spec_table
 from ledgercast.session import stage_path
 from ledgercast.sources.local_table import local_table
 from ledgercast.sources.profile import SuffixGroups, select_by_suffix, select_feature_sample
@@ -56,8 +57,10 @@ class Trained:
         return {spec: model_load(path, spec.id) for spec in specs}
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Models, encoding, calibration and, after a fit, importances, under one project folder."""
+        """Models with their specifications, encoding, calibration and, after a fit, importances, validation metrics
+        and chosen parameters, under one project folder."""
         self.save_models(f"{path}/models")
+        stage_write(spec_table(spark, list(self.models)), f"{path}/model_specs")
         means = list(self.params.means.items())
         codes = [(f, value, code) for f, table in self.params.codes.items() for value, code in table.items()]
         bins = [(p, i, b.lo, b.hi, b.coef) for p, table in self.calibration.items() for i, b in enumerate(table)]
@@ -67,14 +70,19 @@ class Trained:
         if self.fitted:
             tables = [f.importances.withColumn("model", F.lit(f.spec.id)) for f in self.fitted]
             stage_write(reduce(DataFrame.union, tables), f"{path}/feature_importances")
+            stage_write(reduce(DataFrame.union, [f.metrics for f in self.fitted]).coalesce(1), f"{path}/validation_metrics")
+            params = [(f.spec.id, name, float(value)) for f in self.fitted for name, value in f.params.items()]
+            stage_write(local_table(spark, params, "model string, name string, value double"), f"{path}/chosen_parameters")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, dims: Dimensions, **model_options) -> Trained:
+    def load(cls, spark: SparkSession, path: str, dims: Dimensions) -> Trained:
+        """What ``save`` wrote. Families and losses come from the saved specifications."""
         means = stage_read(spark, f"{path}/profile_means")
         codes = stage_read(spark, f"{path}/profile_codes")
         calibration = load_calibration(stage_read(spark, f"{path}/calibration"), dims.product_names)
         params = ProfileParams.load(means, codes, codes.select("feature").distinct().count())
-        return cls(params, cls.load_models(f"{path}/models", all_models(dims.product_names, **model_options)), calibration)
+        specs = read_specs(stage_read(spark, f"{path}/model_specs"))
+        return cls(params, cls.load_models(f"{path}/models", specs), calibration)
 
 
 def cohort_profile(
@@ -153,11 +161,13 @@ def train(
     sample: DataFrame | None = None,
     wanted: list[str] | None = None,
     calibration_mode: str = "contiguous",
+    fits: FitLedger | None = None,
     **model_options,
 ) -> tuple[Trained, DataFrame, DataFrame]:
     """Fit everything; also returns the staged train and test datasets.
 
-    The dataset is staged by report month, so the train and test months are separate folders.
+    The dataset is staged by report month, so the train and test months are separate folders. With ``fits``
+    every model is kept as soon as it is fitted, and a run after a failure fits only what is missing.
     """
     spark = profile.sparkSession
     chosen = cohort_profile(profile, plan, sample, wanted, groups)
@@ -168,7 +178,7 @@ def train(
     train_rows, test_rows = cohort_split(dataset, plan)
     train_rows = validation_flag(train_rows, plan.hash_kind)
     features = model_features(dataset, plan, dims, groups)
-    fitted = fit_models(train_rows, features, all_models(dims.product_names, **model_options), settings)
+    fitted = fit_models(train_rows, features, all_models(dims.product_names, **model_options), settings, fits)
     models = {f.spec: f.model for f in fitted}
     table = calibrate(train_rows, models, dims, calibration_mode)
     return Trained(params, models, load_calibration(table, dims.product_names), fitted), train_rows, test_rows

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgercast.dimensions import Dimensions
 from ledgercast.operators.models import SearchSettings
 from ledgercast.plans.cohort_plan import CohortPlan, CohortSettings, ScoringSettings
+from ledgercast.plans.fit_ledger import FitLedger
 from ledgercast.plans.jobs import Trained, score_clients, test_report, train, write_scores
 from ledgercast.session import build_session
 from ledgercast.sources.ledger import open_table, scan_client_sample, scan_ledger, with_dates
@@ -108,10 +109,11 @@ class RunSettings:
 
 
 def run_training(spark: SparkSession, settings: RunSettings, search: SearchSettings = SearchSettings()) -> DataFrame:
-    """Fit, save and report; returns the report as written."""
+    """Fit, save and report; returns the report as written. Started again after a failure, it goes on where it ended."""
     profile, ledger, sample = settings.tables(spark, settings.sample)
     trained, _, test = train(
-        profile, ledger, settings.training, settings.dims, search, settings.groups, sample, settings.features
+        profile, ledger, settings.training, settings.dims, search, settings.groups, sample, settings.features,
+        fits=FitLedger(spark, f"{settings.project}/fits"),
     )
     trained.save(spark, settings.project)
     report = stage_write(test_report(trained, test, settings.dims).coalesce(1), f"{settings.project}/metrics")
