@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgercast.dimensions import Dimensions
 from ledgercast.operators.models import SearchSettings
-from ledgercast.plans.cohort_plan import CohortPlan, CohortSettings, ScoringSettings
+from ledgercast.plans.cohort_plan import LEDGER_WINDOW, PROFILE_WINDOW, CohortPlan, CohortSettings, ScoringSettings
 from ledgercast.plans.fit_ledger import FitLedger
 from ledgercast.plans.jobs import Trained, score_clients, test_report, train, write_scores
 from ledgercast.session import build_session
@@ -103,14 +103,15 @@ class RunSettings:
             features=json.loads(Path(features).read_text(encoding="utf-8")) if features else None,
         )
 
-    def tables(self, spark: SparkSession, sample: str | None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    def tables(self, spark: SparkSession, plan: CohortPlan, sample: str | None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
         clients = scan_client_sample(spark, sample) if sample else None
-        return with_dates(open_table(spark, self.profile)), scan_ledger(spark, self.ledger), clients
+        profile = with_dates(open_table(spark, self.profile), months=plan.envelope(PROFILE_WINDOW))
+        return profile, scan_ledger(spark, self.ledger, plan.envelope(LEDGER_WINDOW)), clients
 
 
 def run_training(spark: SparkSession, settings: RunSettings, search: SearchSettings = SearchSettings()) -> DataFrame:
     """Fit, save and report; returns the report as written. Started again after a failure, it goes on where it ended."""
-    profile, ledger, sample = settings.tables(spark, settings.sample)
+    profile, ledger, sample = settings.tables(spark, settings.training, settings.sample)
     trained, _, test = train(
         profile, ledger, settings.training, settings.dims, search, settings.groups, sample, settings.features,
         fits=FitLedger(spark, f"{settings.project}/fits"),
@@ -122,7 +123,7 @@ def run_training(spark: SparkSession, settings: RunSettings, search: SearchSetti
 
 def run_scoring(spark: SparkSession, settings: RunSettings) -> DataFrame:
     """Score with the saved models; returns the scores as written."""
-    profile, ledger, sample = settings.tables(spark, settings.scoring_sample)
+    profile, ledger, sample = settings.tables(spark, settings.scoring, settings.scoring_sample)
     trained = Trained.load(spark, settings.project, settings.dims)
     scores = score_clients(profile, ledger, settings.scoring, settings.dims, trained, settings.groups, sample, settings.features)
     return spark.read.parquet(write_scores(scores, settings.project, settings.scores))

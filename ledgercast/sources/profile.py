@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from dataclasses import dataclass
 from pathlib import Path
@@ -55,6 +56,7 @@ def scan_profile(
     source: str | DataFrame,
     wanted: list[str] | None = None,
     groups: SuffixGroups = SuffixGroups(),
+    months: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
-    profile = with_dates(open_table(spark, source))
+    profile = with_dates(open_table(spark, source), months=months)
     return select_by_suffix(profile, groups) if wanted is None else select_feature_sample(profile, wanted, groups)

@@ -1,5 +1,7 @@
 """Small segments, text months, flags and products without calibration rows."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,3 +48,20 @@ def test_product_without_calibration_rows_keeps_its_score(spark):
     assert got["A_sales_pl_predict_probability_calibrated"] == 0.5 and got["B_sales_pl_predict_probability_calibrated"] == 0.25
     with pytest.raises(ValueError):
         load_calibration(table, ["A"], 3)
+
+
+def test_stored_months_are_pruned_by_the_scan(spark, tmp_path):
+    months = ["2018-12-31", "2019-1-31", " 2020-06-30", "2020-06-30 00:00:00", "2020-07-31", "2021-01-31", None, "x"]
+    text = spark.createDataFrame([(k, m, 1, 1, 1.0) for k, m in enumerate(months)], "epk_id long, report_dt string, product_cd int, pl_item int, pl_val double")
+    span = (dt.date(2019, 1, 31), dt.date(2020, 6, 30))
+    whole = text.where(F.expr("try_cast(report_dt AS date)").isNotNull())
+    stored = {"text": whole, "time": whole.withColumn("report_dt", F.col("report_dt").cast("timestamp")), "date": whole.withColumn("report_dt", F.col("report_dt").cast("date"))}
+    for name, frame in stored.items():
+        frame.write.parquet(f"{tmp_path}/{name}")
+        read = scan_ledger(spark, f"{tmp_path}/{name}", span)
+        asked = read.where(F.col("report_dt").between(*span))
+        assert sorted(r["epk_id"] for r in asked.collect()) == [1, 2, 3]
+        assert read.count() < whole.count(), name
+        plan = asked._jdf.queryExecution().executedPlan().toString()
+        pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+        assert "(report_dt," in pushed, (name, pushed)
