@@ -10,9 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgercast.operators.running import running_totals
-from ledgercast.session import stage_path
-from ledgercast.sources.stages import staged
+from ledgercast.operators.running import in_ranges, running_totals
 
 BINS = 10
 # Fixed value: a coefficient this far from 1 is not trusted.
@@ -20,14 +18,14 @@ FAR_FROM_ONE = 0.9999
 
 
 def score_counts(scores: DataFrame) -> DataFrame:
-    """``(product, score, n, positives)``: one row per distinct score.
+    """``(product, score, n, positives)``: one row per distinct score, dealt into ranges for ranks.
 
     Ranks read it several times, so it is staged: the scores behind it are computed once.
     """
     counts = scores.groupBy("product", "score").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("target").cast("long")).alias("positives")
     )
-    return staged(counts, stage_path(scores.sparkSession, "score-counts"))
+    return in_ranges(counts, "product", "score", "score-counts")
 
 
 def quantile_edges(counts: DataFrame, bins: int = BINS) -> DataFrame:
@@ -35,7 +33,7 @@ def quantile_edges(counts: DataFrame, bins: int = BINS) -> DataFrame:
 
     Equal edges are one, and an edge at the smallest score closes no bin.
     """
-    ranked = running_totals(counts, "product", "score", ["n"], counts.count())
+    ranked = running_totals(counts, "product", "score", ["n"])
 
     def value_at(rank: Column) -> Column:
         holds = (F.col("n_upto") > rank) & (F.col("n_upto") - F.col("n") <= rank)
@@ -139,7 +137,7 @@ class CalibrationBin:
 def load_calibration(table: DataFrame, products: list[str], bins: int = BINS) -> dict[str, list[CalibrationBin]]:
     """The fitted table as parameters: ``bins`` rows per product, none for one without calibration rows."""
     out: dict[str, list[CalibrationBin]] = {p: [] for p in products}
-    for row in table.where(F.col("product").isin(list(out))).orderBy("product", "bin").collect():
+    for row in sorted(table.where(F.col("product").isin(list(out))).collect(), key=lambda r: r["bin"]):
         out[row["product"]].append(CalibrationBin(row["lo"], row["hi"], row["coef"]))
     wrong = {p: len(rows) for p, rows in out.items() if len(rows) not in (0, bins)}
     if wrong:

@@ -31,8 +31,8 @@ def regression_metrics(df: DataFrame, by: list[str], target: str = "target", pre
 def score_curve(scores: DataFrame) -> DataFrame:
     """True and false positives from the highest score down, one row per distinct score."""
     counts = score_counts(scores)
-    steps = counts.select("product", "score", "positives", (F.col("n") - F.col("positives")).alias("negatives"))
-    ranked = running_totals(steps, "product", "score", ["positives", "negatives"], counts.count())
+    steps = counts.withColumn("negatives", F.col("n") - F.col("positives")).drop("n")
+    ranked = running_totals(steps, "product", "score", ["positives", "negatives"])
     above = {
         f"{kind}_above": F.col(f"{kind}_total") - F.col(f"{kind}_upto") for kind in ("positives", "negatives")
     }

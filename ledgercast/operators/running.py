@@ -1,71 +1,47 @@
-"""Running totals over an ordered column without sending a large group to one task.
-
-Up to ``ROWS_PER_RANGE`` rows a plain window does. Above that each group is cut into value ranges
-at approximate quantiles. Ranges carry their own totals, at most ``groups x ranges`` of them, which
-give every range its starting value; inside a range a window adds the rows up. The cuts only steer
-the work: the totals are exact for any cuts. They are read once and then fixed, because a sketch
-computed again may come out a little different.
+"""Running totals over an ordered column by distributed prefix sums.
+
+One plan for every size. Rows are dealt once into ranges of (group, order) and written with the
+number of their range. Totals per range and group, at most ranges + groups rows, give each range
+its starting value; the starting row joins its range as the first row, and one window inside the
+range adds up. A group may span all ranges and a range many groups, so neither one large group nor
+very many small ones meet in a task. The cuts only steer the work: totals are exact for any cuts.
+They are written, because a range sampled again may be cut a little differently.
 """
 
 from __future__ import annotations
 
-from math import ceil
+from pyspark.sql import DataFrame, Window, functions as F
+
+from ledgercast.session import stage_path
+from ledgercast.sources.stages import staged
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+RANGE = "_range"
 
-from ledgercast.sources.local_table import broadcast_if_small, local_table
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4096
-MAX_GROUPS = 1000
-STEP = 64
+def in_ranges(df: DataFrame, group: str, order: str, name: str, ranges: int | None = None) -> DataFrame:
+    """A staged copy with the number of each row's range; ``ranges`` defaults to the shuffle partitions."""
+    spark = df.sparkSession
+    count = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(count, F.col(group), F.col(order))
+    return staged(dealt.withColumn(RANGE, F.spark_partition_id()), stage_path(spark, name))
 
 
-def running_totals(
-    df: DataFrame, group: str, order: str, values: list[str], rows: int, rows_per_range: int = ROWS_PER_RANGE
-) -> DataFrame:
+def running_totals(dealt: DataFrame, group: str, order: str, values: list[str]) -> DataFrame:
     """Add ``{v}_upto`` (this row included) and ``{v}_total`` for each value column.
 
-    ``df`` holds one row per ``(group, order)``, so equal values are one row and no range can be
-    flooded by repeats; ``rows`` is its size. The number of groups must be bounded by settings
-    (products, not clients).
+    ``dealt`` comes from :func:`in_ranges` and holds one row per ``(group, order)``, so equal values
+    are one row and no range can be flooded by repeats. Null groups and null orders are values like
+    any other, the nulls first; a null value adds nothing.
     """
-    ranges = min(ceil(rows / rows_per_range), MAX_RANGES)
-    if ranges <= 1:
-        everything = Window.partitionBy(group)
-        upto = everything.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        totals = {f"{v}_total": F.sum(v).over(everything) for v in values}
-        return df.withColumns(totals | {f"{v}_upto": F.sum(v).over(upto) for v in values})
-
-    cuts = df.groupBy(group).agg(
-        F.percentile_approx(order, [(i + 1) / ranges for i in range(ranges - 1)], 20 * ranges).alias("_cuts"),
-        *[F.sum(v).alias(f"{v}_total") for v in values],
-    )
-    found = [tuple(row) for row in cuts.limit(MAX_GROUPS + 1).collect()]
-    if len(found) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups in {group}")
-    cuts = F.broadcast(local_table(df.sparkSession, found, cuts.schema))
-    tagged = df.join(cuts, group).withColumn("_range", _cuts_below(F.col(order), ranges)).drop("_cuts")
-    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        tagged.groupBy(group, "_range")
-        .agg(*[F.sum(v).alias(f"_{v}") for v in values])
-        .select(group, "_range", *[F.coalesce(F.sum(f"_{v}").over(before), F.lit(0)).alias(f"_{v}_start") for v in values])
-    )
-    inside = Window.partitionBy(group, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    local = tagged.withColumns({f"{v}_upto": F.sum(v).over(inside) for v in values})
-    joined = local.join(broadcast_if_small(starts, ranges * len(found)), [group, "_range"])
-    sums = {f"{v}_upto": F.col(f"{v}_upto") + F.col(f"_{v}_start") for v in values}
-    return joined.withColumns(sums).drop("_range", *[f"_{v}_start" for v in values])
-
-
-def _cuts_below(value: Column, ranges: int) -> Column:
-    """How many of the sorted ``_cuts`` lie below the value: every 64th cut first, then one slice."""
-    below = lambda cuts: F.size(F.filter(cuts, lambda cut: cut < value))
-    if ranges <= STEP:
-        return below(F.col("_cuts"))
-    coarse = F.transform(
-        F.sequence(F.lit(STEP), F.lit((ranges - 1) // STEP * STEP), F.lit(STEP)), lambda i: F.element_at("_cuts", i)
-    )
-    skipped = below(coarse) * STEP
-    return skipped + below(F.slice("_cuts", skipped + 1, STEP))
+    everything = Window.partitionBy(group)
+    earlier = everything.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    parts = dealt.groupBy(group, RANGE).agg(*[F.sum(v).alias(v) for v in values])
+    totals = {f"{v}_total": F.coalesce(F.sum(v).over(everything), F.lit(0)) for v in values}
+    starts = {v: F.coalesce(F.sum(v).over(earlier), F.lit(0)) for v in values}
+    opening = parts.withColumns(totals | starts).withColumn("_row", F.lit(0))
+
+    rows = dealt.withColumn("_row", F.lit(1)).unionByName(opening, allowMissingColumns=True)
+    inside = Window.partitionBy(group, RANGE).orderBy("_row", order).rowsBetween(Window.unboundedPreceding, 0)
+    sums = {f"{v}_upto": F.sum(v).over(inside) for v in values}
+    known = {f"{v}_total": F.first(f"{v}_total").over(inside) for v in values}
+    return rows.withColumns(sums | known).where("_row = 1").drop("_row", RANGE)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgercast.operators import calibration as C, combine as K, evaluate as E
-from ledgercast.operators.running import running_totals
+from ledgercast.operators.running import RANGE, in_ranges, running_totals
 from ledgercast.plans import fixtures as fx
 
 
@@ -102,25 +102,49 @@ def test_auc_without_one_class_is_null(spark):
     assert E.roc_auc(scores(spark, [(0.1, 0), (0.2, 0)])).first()["roc_auc"] is None
 
 
-@pytest.mark.parametrize("per_range", [10**6, 400, 7, 3])
-def test_running_totals_are_exact_for_any_cuts(spark, per_range):
-    """``B`` holds nearly all rows, and half of its values sit in a sliver of the range."""
+def running_rows():
+    """``B`` holds nearly all rows, and half of its values sit in a sliver of the range; a null group, a null order
+    and a null value, and 300 groups of one row."""
     rng = random.Random(1)
-    values = {("A", rng.random()) for _ in range(30)}
-    values |= {("B", rng.random() * (1 if i % 2 else 1e-6)) for i in range(900)}
-    rows = sorted((g, x, rng.randint(0, 5), rng.randint(1, 9)) for g, x in values)
+    values = {("A", rng.random()) for _ in range(30)} | {(None, rng.random()) for _ in range(20)} | {("A", None)}
+    values |= {("B", rng.random() * (1 if i % 2 else 1e-6)) for i in range(900)} | {(f"c{i}", 0.5) for i in range(300)}
+    rows = sorted(values, key=lambda v: (v[0] or "", -1.0 if v[1] is None else v[1]))
+    return [(g, x, None if k % 97 == 5 else rng.randint(0, 5), rng.randint(1, 9)) for k, (g, x) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 7, 200, None])
+def test_running_totals_are_exact_for_any_cuts(spark, ranges):
+    rows = running_rows()
     frame = spark.createDataFrame(rows, "g string, x double, n long, m long").repartition(6)
-    got = {
-        (r["g"], r["x"]): (r["n_upto"], r["n_total"], r["m_upto"], r["m_total"])
-        for r in running_totals(frame, "g", "x", ["n", "m"], len(rows), per_range).collect()
-    }
+    dealt = in_ranges(frame, "g", "x", "running", ranges)
+    result = running_totals(dealt, "g", "x", ["n", "m"])
+    assert set(result.columns) == {"g", "x", "n", "m", "n_upto", "n_total", "m_upto", "m_total"}
+    got = {(r["g"], r["x"]): (r["n_upto"], r["n_total"], r["m_upto"], r["m_total"]) for r in result.collect()}
     assert len(got) == len(rows)
-    for group in "AB":
+    for group in {r[0] for r in rows}:
         mine = [r for r in rows if r[0] == group]
         n = m = 0
         for g, x, a, b in mine:
-            n, m = n + a, m + b
-            assert got[g, x] == (n, sum(r[2] for r in mine), m, sum(r[3] for r in mine))
+            n, m = n + (a or 0), m + b
+            assert got[g, x] == (n, sum(r[2] or 0 for r in mine), m, sum(r[3] for r in mine))
+
+
+def test_running_totals_spread_one_large_group(spark):
+    """One group of all rows is dealt over the ranges, and no window gathers it: each is cut by range as well."""
+    frame = spark.range(20_000).select(F.lit("B").alias("g"), (F.col("id") * 7919 % 20_000).alias("x"), F.lit(1).cast("long").alias("n"))
+    dealt = in_ranges(frame, "g", "x", "running", 8)
+    sizes = [r["count"] for r in dealt.groupBy(RANGE).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
+    result = running_totals(dealt, "g", "x", ["n"])
+    assert result.where("n_upto != x + 1 or n_total != 20000").isEmpty()
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    inside = [line for line in plan.splitlines() if "Window" in line and "_row" in line]
+    assert inside and all(f"[g#" in line and f"{RANGE}#" in line.split("], [")[1] for line in inside)
+
+
+def test_running_totals_of_nothing(spark):
+    frame = spark.createDataFrame([], "g string, x double, n long")
+    assert running_totals(in_ranges(frame, "g", "x", "running"), "g", "x", ["n"]).collect() == []
 
 
 def test_regression_metrics(spark):
