@@ -270,11 +270,12 @@ def pnl_wide(
     """All ledger features of a client and report month in one wide row.
 
     Two exchanges, both of combined rows: partial sums on the full key, then one short row per
-    product and item. A client brings at most products x items of those, so they fit in a map from
+    product and item that holds nothing but sums; lags in currency and statistics are derived behind
+    the second one. A client brings at most products x items of those rows, so they fit in a map from
     which the wide columns are read; a pivot would carry every column of every client through its
     aggregation buffers, before the exchange too.
     """
-    history = keep_sample(history_units(rows, plan, each_month), sample)
+    history = keep_sample(history_units(rows, plan, each_month), sample).repartition(*KEYS)
     futures = [c for c in history.columns if c.startswith("f_")]
     stats = trend_stats(item_history(history, plan), plan.history)
     pair = F.concat_ws("|", "product", F.coalesce("item", F.lit("")))

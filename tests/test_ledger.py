@@ -172,6 +172,23 @@ def test_dataset_moves_only_combined_rows(spark, sf, tmp_path):
     assert "partial_sum" in lines[lower + 1]
 
 
+def exchanged(node):
+    """Names of the columns of each exchange, from the top down."""
+    found = [[a.name() for a in (node.output().apply(i) for i in range(node.output().size()))]] if "ShuffleExchange" in node.nodeName() or node.nodeName() == "Exchange" else []
+    for i in range(node.children().size()):
+        found += exchanged(node.children().apply(i))
+    return found
+
+
+def test_exchanges_carry_sums_only(spark, sf):
+    """Lags in currency, statistics and maps are made behind the second exchange."""
+    frame = T.pnl_dataset(fx.ledger(spark, sf), fx.PLAN, fx.DIMENSIONS)
+    upper, lower, *_ = exchanged(frame._jdf.queryExecution().executedPlan().initialPlan())
+    sums = [f"h_{k}" for k in range(1, fx.PLAN.history + 1)] + ["f_sum"]
+    assert upper == [*T.KEYS, "product", "item", *sums]
+    assert len(lower) == len(upper)
+
+
 def test_column_groups(spark, sf):
     groups = T.column_groups(T.pnl_dataset(fx.ledger(spark, sf), fx.PLAN, fx.DIMENSIONS).columns)
     assert len(groups.features) == 6 * 3 * 16 + 6
