@@ -18,3 +18,12 @@ def feature_dataset(profile: DataFrame, pnl: DataFrame) -> DataFrame:
     The ledger side is already spread by these keys after its pivot; only the profile moves.
     """
     return fill_numbers(profile.join(pnl, KEYS, "left"))
+
+
+def profile_with_cells(profile: DataFrame, cells: DataFrame) -> DataFrame:
+    """Every profile row with the map of its ledger sums, null without ledger rows; wide columns are read behind it.
+
+    The join sorts the profile and one short map per client in place of all ledger features, and zeros
+    are filled in the profile only: reading the map leaves none.
+    """
+    return fill_numbers(profile).join(cells, KEYS, "left")

@@ -262,29 +262,44 @@ def _zero_filled(wide: DataFrame, keys: list[str], names: dict[str, str]) -> Dat
 
 
 NOW = "now"
+CELLS = "_cells"
 
 
-def pnl_wide(
+def client_cells(
     rows: DataFrame, plan: CohortPlan, dims: Dimensions, each_month: bool = False, sample: DataFrame | None = None
 ) -> DataFrame:
-    """All ledger features of a client and report month in one wide row.
+    """A client and report month with a map from ``product|item`` to its measures and future sums.
 
     Two exchanges, both of combined rows: partial sums on the full key, then one short row per
     product and item that holds nothing but sums; lags in currency and statistics are derived behind
-    the second one. A client brings at most products x items of those rows, so they fit in a map from
-    which the wide columns are read; a pivot would carry every column of every client through its
-    aggregation buffers, before the exchange too.
+    the second one. A client brings at most products x items of those rows, so they fit in a map; a
+    pivot would carry every column of every client through its aggregation buffers, before the
+    exchange too.
     """
     history = keep_sample(history_units(rows, plan, each_month), sample).repartition(*KEYS)
-    futures = [c for c in history.columns if c.startswith("f_")]
     stats = trend_stats(item_history(history, plan), plan.history)
     pair = F.concat_ws("|", "product", F.coalesce("item", F.lit("")))
-    columns = measures(plan) + ["h_1"] + futures
+    columns = measures(plan) + ["h_1"] + future_sums(plan, each_month)
     entry = F.struct(pair, F.struct(*[F.col(f"`{c}`") for c in columns]))
-    by_client = stats.groupBy(*KEYS).agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
+    return stats.groupBy(*KEYS).agg(F.map_from_entries(F.collect_list(entry)).alias(CELLS))
+
+
+def future_sums(plan: CohortPlan, each_month: bool) -> list[str]:
+    """Names of the months ahead in :func:`history_units`."""
+    if each_month:
+        return [f"f_{m}" for m in range(1, plan.predict + 1)]
+    return ["f_sum"] if plan.predict > 0 else []
+
+
+def widen(df: DataFrame, plan: CohortPlan, dims: Dimensions, each_month: bool = False) -> DataFrame:
+    """The map of :func:`client_cells` as wide columns behind the other columns.
+
+    A missing pair, and a missing map, is zero: a history of zeros has statistics of zero. Do it last:
+    joins and sorts in front of it move the map, which holds only the pairs that exist.
+    """
 
     def cell(product: str, item: str, column: str, zero: str) -> str:
-        return f"coalesce(try_element_at(cells, '{product}|{item}').`{column}`, {zero})"
+        return f"coalesce(try_element_at({CELLS}, '{product}|{item}').`{column}`, {zero})"
 
     features = [
         f"{cell(p, i, c, '0D')} AS `{p}_{i}_{short_name(c)}`"
@@ -295,9 +310,13 @@ def pnl_wide(
     exact = [
         " + ".join(cell(p, i, column, "0L") for i in dims.item_names) + f" AS `{p}|{name}`"
         for p in dims.product_names
-        for column, name in [("h_1", NOW), *[(f, f) for f in futures]]
+        for column, name in [("h_1", NOW), *[(f, f) for f in future_sums(plan, each_month)]]
     ]
-    return by_client.selectExpr(*KEYS, *features, *exact)
+    return df.selectExpr(*other_columns(df), *features, *exact)
+
+
+def other_columns(df: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in df.columns if c != CELLS]
 
 
 def feature_names(plan: CohortPlan, dims: Dimensions) -> list[str]:
@@ -311,12 +330,17 @@ def feature_names(plan: CohortPlan, dims: Dimensions) -> list[str]:
     return names + [f"{p}_pl_-1" for p in dims.product_names]
 
 
-def pnl_features(ledger: DataFrame, plan: CohortPlan, dims: Dimensions, sample: DataFrame | None = None) -> DataFrame:
-    """Item features and every product month ``{p}_pl_{-1 … P-1}``."""
-    wide = pnl_wide(cohort_rows(ledger, plan, dims), plan, dims, each_month=True, sample=sample)
+def features_of_cells(df: DataFrame, plan: CohortPlan, dims: Dimensions) -> DataFrame:
+    """Item features and every product month ``{p}_pl_{-1 … P-1}`` behind the other columns."""
+    wide = widen(df, plan, dims, each_month=True)
     items = feature_names(plan, dims)[: -len(dims.product_names)]
     months = []
     for p in dims.product_names:
         ahead = [(f"f_{m}", m - 1) for m in range(1, plan.predict + 1)]
         months += [units_as(f"{p}|{part}", f"{p}_pl_{m}") for part, m in [(NOW, -1), *ahead]]
-    return wide.selectExpr(*KEYS, *[f"`{c}`" for c in items], *months)
+    return wide.selectExpr(*other_columns(df), *[f"`{c}`" for c in items], *months)
+
+
+def pnl_features(ledger: DataFrame, plan: CohortPlan, dims: Dimensions, sample: DataFrame | None = None) -> DataFrame:
+    """Ledger features of each client and report month."""
+    return features_of_cells(client_cells(cohort_rows(ledger, plan, dims), plan, dims, True, sample), plan, dims)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgercast.dimensions import Dimensions
 from ledgercast.functions.money import exact_sum, units_as
-from ledgercast.operators.ledger import KEYS, NOW, cohort_rows, feature_names, pnl_wide
+from ledgercast.operators.ledger import KEYS, NOW, client_cells, cohort_rows, feature_names, other_columns, widen
 from ledgercast.plans.cohort_plan import CohortPlan
 
 
@@ -88,23 +88,27 @@ def scoring_total_naive(wide: DataFrame, products: list[str]) -> DataFrame:
 # -- the ledger dataset --------------------------------------------------------------------------
 
 
-def pnl_dataset(ledger: DataFrame, plan: CohortPlan, dims: Dimensions, sample: DataFrame | None = None) -> DataFrame:
-    """Ledger features with targets, flags and totals.
+def dataset_of_cells(df: DataFrame, plan: CohortPlan, dims: Dimensions) -> DataFrame:
+    """Ledger features with targets, flags and totals, behind the other columns.
 
     The year ahead is summed in the first aggregation, so the single months are never shuffled.
     """
     products = dims.product_names
-    wide = pnl_wide(cohort_rows(ledger, plan, dims), plan, dims, sample=sample)
     items = feature_names(plan, dims)[: -len(products)]
     parts = [(NOW, now)] + ([("f_sum", target)] if plan.predict > 0 else [])
     columns = [units_as(f"{p}|{part}", name(p)) for part, name in parts for p in products]
     totals = ["(" + " + ".join(f"`{p}|{part}`" for p in products) + f") AS `{name('total')}`" for part, name in parts]
-    out = wide.selectExpr("*", *totals).selectExpr(
-        *KEYS, *[f"`{c}`" for c in items], *columns, *[units_as(name("total"), name("total")) for _, name in parts]
+    out = widen(df, plan, dims).selectExpr("*", *totals).selectExpr(
+        *other_columns(df), *[f"`{c}`" for c in items], *columns, *[units_as(name("total"), name("total")) for _, name in parts]
     )
     return sale_flags(out, products) if plan.predict > 0 else out
 
 
+def pnl_dataset(ledger: DataFrame, plan: CohortPlan, dims: Dimensions, sample: DataFrame | None = None) -> DataFrame:
+    """The ledger dataset of each client and report month."""
+    return dataset_of_cells(client_cells(cohort_rows(ledger, plan, dims), plan, dims, sample=sample), plan, dims)
+
+
 @dataclass(frozen=True)
 class ColumnGroups:
     """Which columns of the ledger dataset are features, targets, flags and naive forecasts."""

@@ -357,8 +357,9 @@ ENCODED_FLOATS = ["acctbal_amt_mean_na", "orders_qty_mean_na", "mkt_segm", "nati
 
 @query
 def feature_dataset(spark, sf):
-    pnl = T.pnl_dataset(fx.ledger(spark, sf), PLAN, DIMS)
-    return rounded(S.feature_dataset(_encoded(spark, sf), pnl), 6, *ENCODED_FLOATS)
+    cells = L.client_cells(L.cohort_rows(fx.ledger(spark, sf), PLAN, DIMS), PLAN, DIMS)
+    joined = S.profile_with_cells(_encoded(spark, sf), cells)
+    return rounded(T.dataset_of_cells(joined, PLAN, DIMS), 6, *ENCODED_FLOATS)
 
 
 # -- aggregations, pivots, windows ---------------------------------------------------------------

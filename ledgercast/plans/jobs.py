@@ -16,9 +16,9 @@ from ledgercast.dimensions import Dimensions
 from ledgercast.operators.calibration import BINS, CalibrationBin, calibration_fit, load_calibration
 from ledgercast.operators.cohort import cohort_filter_profile, cohort_split, validation_flag, validation_rows
 from ledgercast.operators.combine import combine
-from ledgercast.operators.dataset import feature_dataset, fill_numbers
+from ledgercast.operators.dataset import profile_with_cells
 from ledgercast.operators.evaluate import evaluate, sale_scores
-from ledgercast.operators.ledger import feature_names, keep_sample, pnl_features
+from ledgercast.operators.ledger import client_cells, cohort_rows, feature_names, features_of_cells, keep_sample
 from ledgercast.operators.models import (
     FittedModel,
     ModelSpec,
@@ -28,7 +28,7 @@ from ledgercast.operators.models import (
     predict_all,
 )
 from ledgercast.operators.profile import ProfileParams, fit_params, profile_feature_groups, profile_transform
-from ledgercast.operators.targets import drop_targets, now, pnl_dataset, scoring_total_naive, target
+from ledgercast.operators.targets import dataset_of_cells, drop_targets, now, scoring_total_naive, target
 from ledgercast.plans.cohort_plan import CohortPlan
 from ledgercast.plans.fit_ledger import FitLedger, read_specs, spec_table
 from ledgercast.session import stage_path
@@ -113,7 +113,8 @@ def full_dataset(
     sample: DataFrame | None = None,
 ) -> DataFrame:
     """Encoded profile beside the ledger dataset, one row per client-month of the plan."""
-    return feature_dataset(profile_transform(profile, params, groups), pnl_dataset(ledger, plan, dims, sample))
+    cells = client_cells(cohort_rows(ledger, plan, dims), plan, dims, sample=sample)
+    return dataset_of_cells(profile_with_cells(profile_transform(profile, params, groups), cells), plan, dims)
 
 
 def model_features(
@@ -206,8 +207,8 @@ def scoring_features(
 ) -> DataFrame:
     """Features of the scoring month with the encoding of training; no months ahead."""
     encoded = profile_transform(cohort_profile(profile, plan, sample, wanted, groups), params, groups)
-    wide = feature_dataset(encoded, pnl_features(ledger, plan, dims, sample))
-    return fill_numbers(scoring_total_naive(wide, dims.product_names))
+    cells = client_cells(cohort_rows(ledger, plan, dims), plan, dims, True, sample)
+    return scoring_total_naive(features_of_cells(profile_with_cells(encoded, cells), plan, dims), dims.product_names)
 
 
 def score_clients(

@@ -9,7 +9,7 @@ from pyspark.sql import Window, functions as F
 from ledgercast.defaults import bank_dimensions
 from ledgercast.dimensions import Dimensions
 from ledgercast.functions.calendar import month_end
-from ledgercast.operators import ledger as L, targets as T
+from ledgercast.operators import dataset as S, ledger as L, targets as T
 from ledgercast.plans import fixtures as fx
 from ledgercast.plans.cohort_plan import Cell, CohortPlan
 
@@ -189,6 +189,40 @@ def test_exchanges_carry_sums_only(spark, sf):
     assert len(lower) == len(upper)
 
 
+def profile_rows(spark, sf):
+    """Every second client, once more without ledger rows, with missing values."""
+    clients = fx.ledger(spark, sf).select("epk_id").where("epk_id % 2 = 0").distinct()
+    months = T.pnl_dataset(fx.ledger(spark, sf), fx.PLAN, fx.DIMENSIONS).select("report_dt").distinct()
+    known = clients.union(clients.select(-F.col("epk_id") - 1)).crossJoin(F.broadcast(months))
+    return known.withColumns({"age_amt": F.when(F.col("epk_id") % 4 == 0, 1.5), "name_cd": F.lit(None).cast("string")})
+
+
+def test_late_widening_equals_the_join_of_wide_rows(spark, sf):
+    profile, source = profile_rows(spark, sf), fx.ledger(spark, sf)
+    cells = L.client_cells(L.cohort_rows(source, fx.PLAN, fx.DIMENSIONS), fx.PLAN, fx.DIMENSIONS)
+    late = T.dataset_of_cells(S.profile_with_cells(profile, cells), fx.PLAN, fx.DIMENSIONS)
+    early = S.feature_dataset(profile, T.pnl_dataset(source, fx.PLAN, fx.DIMENSIONS))
+    assert late.columns == early.columns and late.dtypes == early.dtypes
+    assert late.count() == early.count() and late.exceptAll(early).isEmpty()
+
+
+def sorted_widths(node):
+    """Number of columns of each sort in a plan."""
+    found = [node.output().size()] if node.nodeName() == "Sort" else []
+    for i in range(node.children().size()):
+        found += sorted_widths(node.children().apply(i))
+    return found
+
+
+def test_join_sorts_no_wide_rows(spark, sf):
+    profile = profile_rows(spark, sf)
+    cells = L.client_cells(L.cohort_rows(fx.ledger(spark, sf), fx.PLAN, fx.DIMENSIONS), fx.PLAN, fx.DIMENSIONS)
+    dataset = T.dataset_of_cells(S.profile_with_cells(profile, cells.hint("merge")), fx.PLAN, fx.DIMENSIONS)
+    widths = sorted_widths(dataset._jdf.queryExecution().executedPlan().initialPlan())
+    assert widths and max(widths) <= len(profile.columns)
+    assert len(dataset.columns) > 300
+
+
 def test_column_groups(spark, sf):
     groups = T.column_groups(T.pnl_dataset(fx.ledger(spark, sf), fx.PLAN, fx.DIMENSIONS).columns)
     assert len(groups.features) == 6 * 3 * 16 + 6
