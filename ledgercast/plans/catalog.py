@@ -344,8 +344,12 @@ def _train_profile(spark, sf) -> DataFrame:
     return H.cohort_filter_profile(_typed_profile(spark, sf), PLAN.only("train"))
 
 
+# More than the nations, fewer than the clients of the smallest tables: names of clients go at every scale.
+CATEGORY_VALUES = 50
+
+
 def _params(spark, sf) -> P.ProfileParams:
-    return P.fit_params(_train_profile(spark, sf))
+    return P.fit_params(_train_profile(spark, sf), max_values=CATEGORY_VALUES)
 
 
 def _encoded(spark, sf, plan: CohortPlan = PLAN) -> DataFrame:

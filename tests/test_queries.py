@@ -8,7 +8,8 @@ from check import connect, difference
 CHECKED = [
     "scan_ledger", "cohort_plan", "month_end_shift", "cohort_filter_ledger", "category_frequency",
     "product_total_leads", "delta_relative", "pnl_dataset", "calibration_fit_observed", "classification_metrics_tied",
-    "eval_product_total", "eval_total", "ensemble_scores",
+    "eval_product_total", "eval_total", "ensemble_scores", "profile_feature_groups", "profile_transform",
+    "feature_dataset", "scoring_features",
 ]
 
 
