@@ -116,3 +116,36 @@ def test_whole_job(spark, sf):
     assert not [c for c in scores.columns if "target" in c]
     clients = catalog.fx.table(spark, sf, "customer").count()
     assert scores.count() == clients and scores.where("total_pl_predict is null").isEmpty()
+
+
+def test_staged_rows_are_split_by_their_flag(spark, dataset):
+    rows = J.staged_by_flag(dataset, J.stage_path(spark, "flagged"))
+    assert rows.columns == dataset.columns and rows.schema["is_valid"].dataType == dataset.schema["is_valid"].dataType
+    assert rows.exceptAll(dataset).isEmpty() and rows.count() == dataset.count()
+    for valid, share in ((False, 240), (True, 60)):
+        part = M.validation_rows(rows, valid)
+        assert part.count() == share and "PartitionFilters: [isnotnull(valid_part" in part._jdf.queryExecution().toString()
+    none = J.staged_by_flag(dataset.where("false"), J.stage_path(spark, "flagged"))
+    assert none.columns == dataset.columns and none.isEmpty()
+
+
+def test_models_read_rows_behind_their_filter(spark, sf):
+    _, train, test = catalog._trained(spark, sf)
+    for rows in (train, test):
+        assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_selection_keeps_its_sample(dataset, monkeypatch):
+    seen, forest = [], M.forest
+
+    class Watched:
+        def __init__(self, *a):
+            self.inner = forest(*a)
+
+        def fit(self, rows):
+            seen.append(rows.storageLevel.useMemory)
+            return self.inner.fit(rows)
+
+    monkeypatch.setattr(M, "forest", Watched)
+    assert M.rf_importance(dataset, FEATURES, M.model_total(), SMALL).count() == len(FEATURES)
+    assert seen == [True]
