@@ -29,3 +29,9 @@ def test_every_sql_has_a_query():
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+def test_shares_read_their_table_once(spark, sf):
+    from ledgercast.plans import catalog
+
+    assert all("feature-sums" in path for path in catalog._code_importances(spark, sf).inputFiles())
