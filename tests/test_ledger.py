@@ -270,3 +270,15 @@ def test_client_with_two_report_months_gets_both(spark):
     rows = {r["report_dt"]: r for r in T.pnl_dataset(ledger(spark, [(1, 1, 10, 0, 5.0)]), two, DIMS).collect()}
     assert (rows[REPORT]["A_pl_-1"], rows[REPORT]["A_pl_target"]) == (5, 0)
     assert (rows[months[0]]["A_pl_-1"], rows[months[0]]["A_pl_target"]) == (0, 5)
+
+
+def test_pivots_hold_only_rows_that_exist(spark):
+    rows = [(1, "A", 1.5, None), (1, "B", 2.0, 3.0), (2, "other", 9.0, 9.0)]
+    long = spark.createDataFrame(rows, "epk_id long, product string, `x_-1` double, y double").withColumn("report_dt", F.lit("2020-06-30"))
+    wide = L.pivot_products(long.select("epk_id", "report_dt", "product", "`x_-1`", "y"), DIMS)
+    assert wide.columns == ["epk_id", "report_dt", *[f"{p}_{c}" for p in DIMS.product_names for c in ("x_-1", "y")]]
+    got = {r["epk_id"]: r for r in wide.collect()}
+    assert (got[1]["A_x_-1"], got[1]["A_y"], got[1]["B_x_-1"], got[1]["B_y"]) == (1.5, 0.0, 2.0, 3.0)
+    assert set(list(got[2])[2:]) == {0.0}
+    text = wide._jdf.queryExecution().toString()
+    assert "collect_list" in text and "first(" not in text
