@@ -578,18 +578,43 @@ def rest_pairs(members: DataFrame, roots: DataFrame, bits: DataFrame, nearest: b
     return pairs.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
 
 
+def anchored_links(nodes: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of each text and the leader of its group over the covering code: texts whose SimHashes
+    are joined by steps of ``CLOSE`` bits or fewer."""
+    points = staged(nodes.groupBy("point").agg(F.min("node").alias("leader")), stage_path(nodes.sparkSession, "points"))
+    members = points.select("point").mapInArrow(_replicate, "cell long, node long, point long")
+    roots = components(cell_links(members, CLOSE)).withColumnRenamed("node", "point")
+    rooted = points.join(roots, "point", "left").select("point", F.coalesce("root", "point").alias("root"))
+    led = rooted.join(points.withColumnRenamed("point", "root"), "root").select("point", "leader")
+    pairs = nodes.select("node", "point").join(led, "point").where("node <> leader")
+    return pairs.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
+
+
+def between_groups(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """The ``links`` (a, b) whose ends are not in one group yet."""
+    ends = links
+    for side in "ab":
+        ends = ends.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+    return ends.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def similar_groups(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], hot: DataFrame) -> DataFrame:
     """``node, root`` of texts linked by a similarity of 0.8.
 
-    A large cell first joins its members by a tree, then each to the nearest of other groups; then every
+    SimHash groups of the covering code come first: each text is checked against its group's leader. The
+    prefix filter then finds the pairs that fingerprints miss, between groups only. A large cell first joins its members by a tree, then each to the nearest of other groups; then every
     pair of it that is not in one group yet is decided. So a dense group costs its members and no
     pair is left out.
     """
     spark = nodes.sparkSession
+    anchored = staged(anchored_links(nodes), stage_path(spark, "anchored"))
+    close = staged(similar_links(anchored, texts_of), stage_path(spark, "close"))
+    groups = staged(components(close), stage_path(spark, "groups"))
     met = staged(prefix_pairs(nodes, hot), stage_path(spark, "met"))
     links = met.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b"))
-    tried = staged(links.distinct(), stage_path(spark, "links"))
-    similar = staged(similar_links(possible_links(tried, texts_of), texts_of), stage_path(spark, "similar"))
+    tried = staged(between_groups(links.distinct(), groups), stage_path(spark, "links"))
+    similar = similar_links(possible_links(tried, texts_of), texts_of)
+    similar = staged(close.union(similar), stage_path(spark, "similar"))
     members = met.where("other IS NULL")
     if members.isEmpty():
         return components(similar)

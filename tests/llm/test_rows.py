@@ -363,3 +363,18 @@ def test_bitmaps_never_sort_out_a_similar_pair():
         assert verdict or 5 * len(a & b) < 4 * len(a | b)
         apart += not verdict
     assert apart > 100
+
+
+def test_near_dedup_takes_the_groups_of_the_covering_code(spark, monkeypatch):
+    rng = random.Random(8)
+    points = [rng.getrandbits(62) for _ in range(6)]
+    points += [p ^ 1 << 3 ^ 1 << 40 for p in points[:3]] + [points[3], points[4] ^ 0b111]
+    nodes = spark.createDataFrame(list(enumerate(points)), "node long, point long")
+    assert sorted(map(tuple, simhash.anchored_links(nodes).collect())) == [(0, 6), (1, 7), (2, 8), (3, 9)]
+
+    seen, links = [], simhash.similar_links
+    monkeypatch.setattr(simhash, "similar_links", lambda pairs, texts: seen.append(pairs.count()) or links(pairs, texts))
+    base = prose(rng, 400).split()
+    docs = [(k, " ".join([*base[:-1], f"end{k}"]), "a") for k in range(6)] + [(9, prose(rng, 400), "a")]
+    assert sorted(r["doc_id"] for r in simhash.keep_one_of_each(table(spark, docs)).collect()) == [0, 9]
+    assert len(seen) == 2 and seen[0] > 0 and seen[1] < 15, "groups of close fingerprints first, then pairs between groups"
