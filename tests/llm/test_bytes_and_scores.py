@@ -63,6 +63,32 @@ def test_removed_bytes_without_broadcast(spark, rows, monkeypatch):
     assert Counter((r[0], tuple(r[1:])) for r in got) == Counter(zip([i for i, _ in rows], brute_removed([t for _, t in rows], 60)))
 
 
+def test_passages_that_agree_in_part_are_few_ranges(spark, monkeypatch):
+    rng = random.Random(11)
+    passage = prose(rng, 700)
+    texts = [prose(rng, 70) + passage[: 1500 + 40 * i] + "#" + passage[1500 + 40 * i :] + prose(rng, 70) for i in range(8)]
+    texts += ["abcd " * 300, "x " + "abcd " * 200 + "y"]
+    ranges = []
+    union = substring_dedup.union_of_ranges
+    monkeypatch.setattr(substring_dedup, "union_of_ranges", lambda df: ranges.append(df.count()) or union(df))
+    docs = table(spark, list(enumerate(texts)))
+    got = {r[0]: tuple(r[1:]) for r in substring_dedup.without_repeats(docs).collect()}
+    want = brute_removed(texts, 400)
+    assert got == dict(enumerate(want))
+    assert sum(w[1] for w in want) > 20_000 and ranges[0] < 1000
+
+
+def test_index_is_not_merged_for_no_batch(spark, rows):
+    docs = substring_dedup.texts_of(table(spark, rows)).where("n_bytes >= 60").select("text", "text_id")
+    schema = "suffix long, run long, text_id long, start int, starts int, n long, loops boolean"
+    runs = docs.mapInArrow(substring_dedup._runs(60, 30), schema).cache()
+    index, sizes = substring_dedup.SuffixIndex(spark), []
+    for part in range(7):
+        index.add(runs.where(f"pmod(text_id, 7) = {part}"))
+        sizes.append([size for size, _ in index.levels])
+    assert sizes == [[1], [1, 1], [2, 1], [2, 1, 1], [4, 1], [4, 1, 1], [4, 2, 1]]
+
+
 def test_removed_bytes_of_the_query(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     got = {r[0]: tuple(r[1:]) for r in queries.op4_substring_dedup(spark, sf).collect()}
