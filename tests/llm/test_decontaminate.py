@@ -137,3 +137,17 @@ def test_time_is_linear_in_the_tokens_of_a_text(spark, repeated):
             runs.append(time.time() - start)
         seconds[tokens] = min(runs)
     assert seconds[100_000] < 30 * max(seconds[10_000], 0.2)
+
+
+def test_probing_marks_a_text_once(spark, monkeypatch):
+    plans, staged = {}, d.staged
+
+    def kept(df, path, *more):
+        plans[path.rsplit("/", 1)[-1].split("-")[0]] = df._jdf.queryExecution().optimizedPlan().toString()
+        return staged(df, path, *more)
+
+    monkeypatch.setattr(d, "staged", kept)
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "so One two three four five six seven eight nine"), (2, ""), (3, None)], "doc_id long, text string")
+    assert [r["doc_id"] for r in d.contaminated_items(docs, bench).collect()] == [1]
+    assert plans["hits"].count("lower(trim(") == 1
