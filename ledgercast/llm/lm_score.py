@@ -16,6 +16,9 @@ segments; every segment adds up, builds its filter, and returns a level (words:
 each hash in the order it came. The answers meet the chunk again, which scores its documents. A word
 in every document is one entry per chunk.
 
+A chunk's memory is that of its text and its distinct hashes: texts are hashed in pieces of about
+512 KB, and tables with whole texts pass to Python in batches of about a chunk.
+
 Null texts are empty: an end mark only. Words and bigrams are told apart by 64-bit hashes.
 """
 
@@ -25,13 +28,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgercast.llm.rolling import LOWER, WHITE, mixed, running, stretches
-from ledgercast.session import stage_path
+from ledgercast.session import arrow_batches, stage_path
 from ledgercast.sources.stages import stage_read, staged
 
 CHUNK_BYTES = 4 << 20
+PIECE_BYTES = 512 << 10
 SEGMENT_BYTES = 12 << 20
 BITS_PER_ITEM = 12
 PROBES = 6
@@ -89,7 +94,17 @@ class LogFrequencyFilter:
 
 
 def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens of texts in a row, each text closed by the end mark; tokens per text."""
+    """Hashes of all tokens of texts in a row, each text closed by the end mark; tokens per text.
+
+    A hash does not depend on where its word stands, so pieces of the texts give the same hashes.
+    """
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    cuts = np.flatnonzero(np.diff((ends - 1) // PIECE_BYTES)) + 1
+    pieces = [_piece_hashes(texts[low:high]) for low, high in zip([0, *cuts], [*cuts, len(texts)])]
+    return tuple(np.concatenate(parts) for parts in zip(*pieces))
+
+
+def _piece_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     data = LOWER[np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)]
     white = WHITE[data]
     starts = np.flatnonzero(~white & np.r_[True, white[:-1]])
@@ -139,9 +154,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             held_part[0] = batch.column(3)[0].as_py()
-        sizes = np.array([len(t) for t in batch.column(2).to_pylist()])
         start = 0
-        for i, n in enumerate(sizes.tolist()):
+        for i, n in enumerate(pc.binary_length(batch.column(2)).to_pylist()):
             if size and size + n > CHUNK_BYTES:
                 held.append(batch.slice(start, i - start).select([0, 1, 2]))
                 yield close()
@@ -161,29 +175,30 @@ def chunked(docs: DataFrame) -> DataFrame:
     )
     chunks = rows.mapInArrow(_chunks, f"chunk string, doc_ids array<{kind}>, held array<boolean>, texts array<binary>")
     path = stage_path(docs.sparkSession, "chunks")
-    chunks.write.option("compression", "zstd").parquet(path)
+    with arrow_batches(docs.sparkSession, CHUNK_BYTES):
+        chunks.write.option("compression", "zstd").parquet(path)
     return stage_read(docs.sparkSession, path)
 
 
 def _send(segments: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, held, texts in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for i in range(batch.num_rows):
+                chunk, held, texts = (batch.column(c)[i].as_py() for c in range(3))
                 tokens, sizes = token_hashes(texts)
                 train = np.repeat(~np.array(held), sizes)
                 for kind, hashes in enumerate((tokens, bigram_hashes(tokens))):
                     distinct, inverse = np.unique(hashes, return_inverse=True)
                     counts = np.bincount(inverse, weights=train, minlength=len(distinct)).astype(np.uint32)
                     bounds = segment_bounds(distinct, segments)
-                    for segment in range(segments):
-                        low, high = bounds[segment], bounds[segment + 1]
-                        if low < high:
-                            steps = np.diff(distinct[low:high], prepend=np.uint64(0))
-                            columns = [
-                                pa.array([kind * segments + segment], pa.int32()), pa.array([chunk]),
-                                pa.array([pack(steps)], pa.binary()), pa.array([pack(counts[low:high])], pa.binary()),
-                            ]
-                            yield pa.RecordBatch.from_arrays(columns, ["segment", "chunk", "steps", "counts"])
+                    asked = np.flatnonzero(np.diff(bounds))
+                    ranges = list(zip(bounds[asked].tolist(), bounds[asked + 1].tolist()))
+                    steps = [pack(np.diff(distinct[low:high], prepend=np.uint64(0))) for low, high in ranges]
+                    columns = [
+                        pa.array(kind * segments + asked, pa.int32()), pa.array([chunk] * len(asked), pa.string()),
+                        pa.array(steps, pa.binary()), pa.array([pack(counts[low:high]) for low, high in ranges], pa.binary()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["segment", "chunk", "steps", "counts"])
 
     return send
 
@@ -192,29 +207,31 @@ def _answer(segments: int):
     def answer(rows: pa.Table) -> pa.Table:
         segment = rows.column(0)[0].as_py()
         asked = [np.cumsum(unpack(s, "<u8"), dtype=np.uint64) for s in rows.column(2).to_pylist()]
-        counts = [unpack(c, "<u4") for c in rows.column(3).to_pylist()]
+        ends = np.cumsum([len(a) for a in asked])
+        starts, count = ends - [len(a) for a in asked], len(asked)
         every = np.concatenate(asked)
         order = np.argsort(every, kind="stable")
         ordered = every[order]
+        del asked, every
         fresh = np.r_[True, ordered[1:] != ordered[:-1]]
         items = ordered[fresh]
-        sums = np.add.reduceat(np.concatenate(counts).astype(np.int64)[order], np.flatnonzero(fresh))
+        counts = np.concatenate([unpack(c, "<u4") for c in rows.column(3).to_pylist()]).astype(np.int64)
+        sums = np.add.reduceat(counts[order], np.flatnonzero(fresh))
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.cumsum(fresh) - 1
+        del ordered, order, counts, fresh
         if segment < segments:
-            place = np.empty(len(every), dtype=np.int64)
-            place[order] = np.cumsum(fresh) - 1
-            answers = sums[place].astype("<u8")
+            found = sums.astype("<u8")
             total, kinds = int(sums.sum()), int((sums > 0).sum())
         else:
             seen = sums > 0
             lookup = LogFrequencyFilter(items[seen], levels_of(sums[seen]))
-            answers = lookup.levels(every).astype("<u8")
+            found = lookup.levels(items).astype("<u8")
             total = kinds = 0
-        ends = np.cumsum([len(a) for a in asked])
-        count = len(asked)
         return pa.table(
             {
                 "chunk": rows.column(1), "segment": pa.array([segment] * count, pa.int32()),
-                "answers": pa.array([pack(answers[e - len(a) : e]) for a, e in zip(asked, ends)], pa.binary()),
+                "answers": pa.array([pack(found[place[low:high]]) for low, high in zip(starts, ends)], pa.binary()),
                 "total": pa.array([total] + [0] * (count - 1), pa.int64()),
                 "kinds": pa.array([kinds] + [0] * (count - 1), pa.int64()),
             }
@@ -268,10 +285,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     sent = chunks.select("chunk", "held", "texts").mapInArrow(
         _send(segments), "segment int, chunk string, steps binary, counts binary"
     )
-    answers = staged(
-        sent.groupBy("segment").applyInArrow(_answer(segments), "chunk string, segment int, answers binary, total long, kinds long"),
-        stage_path(spark, "answers"),
-    )
+    groups = sent.groupBy("segment").applyInArrow(_answer(segments), "chunk string, segment int, answers binary, total long, kinds long")
+    with arrow_batches(spark, CHUNK_BYTES):
+        answers = staged(groups, stage_path(spark, "answers"))
     total, kinds = answers.agg(F.sum("total"), F.sum("kinds")).first()
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (

@@ -7,8 +7,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from ledgercast import session
 from ledgercast.llm import lm_score, queries, substring_dedup, token_files, token_prefix
 from ledgercast.llm.vocabulary import word_tokenizer
 
@@ -254,3 +256,32 @@ def test_word_cache_shrinks_without_a_change_of_ids(monkeypatch):
         assert ids[0].tolist() == tokenizer.whole(text)
         assert ids[1].tolist() == tokenizer.whole(common)
     assert len(tokenizer.index) < 120
+
+
+def test_hashes_do_not_depend_on_pieces(rows, monkeypatch):
+    texts = [(t or "").encode() for _, t in rows]
+    whole = lm_score.token_hashes(texts)
+    monkeypatch.setattr(lm_score, "PIECE_BYTES", 100)
+    lengths, running = [], lm_score.running
+    monkeypatch.setattr(lm_score, "running", lambda data: lengths.append(len(data)) or running(data))
+    pieces = lm_score.token_hashes(texts)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, pieces))
+    assert len(lengths) > 5 and max(lengths) <= max(map(len, texts)) + 101
+
+
+def test_a_chunk_is_sent_in_two_batches(rows):
+    batch = pa.RecordBatch.from_pydict({
+        "chunk": ["a", "b"], "held": [[False] * len(rows)] * 2, "texts": [[(t or "").encode() for _, t in rows]] * 2
+    })
+    sent = list(lm_score._send(40)(iter([batch])))
+    assert len(sent) == 4, "words and bigrams of two chunks, whatever the number of segments"
+    assert max(b.num_rows for b in sent) == 40
+
+
+def test_texts_pass_to_python_in_batches_of_a_chunk(spark, rows, monkeypatch):
+    seen, write = [], lm_score.staged
+    limit = lambda: spark.conf.get(session.ARROW_BYTES)
+    monkeypatch.setattr(lm_score, "staged", lambda *a: seen.append(limit()) or write(*a))
+    before = limit()
+    check_scores(lm_score.score_documents(table(spark, rows)).collect(), rows)
+    assert seen == [str(lm_score.CHUNK_BYTES)] and limit() == before
