@@ -149,3 +149,29 @@ def test_selection_keeps_its_sample(dataset, monkeypatch):
     monkeypatch.setattr(M, "forest", Watched)
     assert M.rf_importance(dataset, FEATURES, M.model_total(), SMALL).count() == len(FEATURES)
     assert seen == [True]
+
+
+@pytest.mark.parametrize("name", ["gbt_regression"])
+def test_queries_do_the_whole_job(monkeypatch, name):
+    class Asked(Exception):
+        pass
+
+    def asked(*given):
+        raise Asked(given[-1])
+
+    monkeypatch.setattr(catalog, "_trained", lambda spark, sf: (None, None, None))
+    monkeypatch.setattr(J, "model_features", lambda *a: FEATURES)
+    monkeypatch.setattr(M, "fit_model", asked)
+    monkeypatch.setattr(M, "rf_importance", asked)
+    with pytest.raises(Asked) as found:
+        catalog.QUERIES[name](None, None)
+    s, published = found.value.args[0], M.SearchSettings()
+    assert M.grid(s) == M.grid(published) and len(M.grid(s)) == 27
+    for size in ("forest_trees", "forest_depth", "refit_depth", "keep_features", "cutoff_features"):
+        assert getattr(s, size) == getattr(published, size)
+    assert s.sample_rows is None and s.forest_rows == 1.0, "all rows of the segment, and as many for every tree"
+
+
+def test_no_bound_takes_all_rows(dataset):
+    assert M.some_rows(dataset, None, 23) is dataset
+    assert M.some_rows(dataset, 100, 23).count() == 100
