@@ -151,7 +151,7 @@ def test_selection_keeps_its_sample(dataset, monkeypatch):
     assert seen == [True]
 
 
-@pytest.mark.parametrize("name", ["gbt_regression", "gbt_search", "rf_importance"])
+@pytest.mark.parametrize("name", ["gbt_regression", "gbt_search", "rf_importance", "rf_model"])
 def test_queries_do_the_whole_job(monkeypatch, name):
     class Asked(Exception):
         pass
